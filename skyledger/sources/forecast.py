@@ -151,7 +151,7 @@ def day_night_fold(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame
     zero = F.struct(
         *[F.lit(None)] * 5, F.lit(False), F.lit(0.0)
     ).cast(f"struct<{_as_struct(_FOLD_ZERO)}>")
-    dates = F.array_sort(F.array_distinct(F.transform("periods", lambda p: p["date"])))
+    dates = F.sort_array(F.array_distinct(F.transform("periods", lambda p: p["date"])))
     days = (
         parsed(docs)
         .select(*by, periods.alias("periods"))
