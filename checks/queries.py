@@ -62,10 +62,8 @@ def ingest_observation(spark, sf_dir):
 
 @register
 def feels_like(spark, sf_dir):
-    docs = documents.parsed(V.observation_documents(spark, sf_dir))
-    return docs.select(
-        "event_id", round_to(observation.feels_like(F.col("doc")), 6).alias("feels_like")
-    )
+    docs = observation.observed(V.observation_documents(spark, sf_dir), ("event_id",))
+    return docs.select("event_id", round_to(observation.feels_like(), 6).alias("feels_like"))
 
 
 @register

@@ -307,16 +307,21 @@ BROKEN = """case k % 8 when 0 then 'no json {' when 1 then '[1, 2]' when 2 then
 def observation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation document per event; it arrives at the event's own time."""
     return (
-        table(spark, sf_dir, "events")
+        _spread(table(spark, sf_dir, "events"), "event_id")
         .withColumn("v", F.expr("cast(floor(value) as int)"))
         .select("event_id", F.expr(OBSERVATION).alias("body"), F.col("ts").alias("ingested_at"))
     )
 
 
+def _spread(keys: DataFrame, column: str) -> DataFrame:
+    """Spread rows over all cores before documents are built: the text is far larger than its
+    source row, which the adaptive optimizer cannot know."""
+    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism, column)
+
+
 def _per_customer(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("k"))
-    # Spread the documents before they are built: the text is far larger than its source row.
-    keys = customers.repartition("k")
+    keys = _spread(customers, "k")
     return keys.select(F.col("k").alias("doc_id"), F.expr(body).alias("body"))
 
 

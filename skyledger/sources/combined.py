@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger import DEFAULT_BY
 from skyledger.functions.clock import epoch_to_utc
-from skyledger.sources.documents import array_at, at, is_object, is_present, parsed
+from skyledger.sources.documents import is_object, is_present, parsed
 
 HOURS_KEPT = 48
 DAYS_KEPT = 7
@@ -21,56 +21,81 @@ DAYS_KEPT = 7
 # Required keys.
 SECTIONS = ("current", "hourly", "daily")
 READING_KEYS = ("dt", "temp", "feels_like", "humidity", "pressure", "wind_speed", "wind_deg")
-DAY_KEYS = (
-    "temp.min", "temp.max", "temp.day", "temp.night",
-    "humidity", "pressure", "wind_speed", "wind_deg",
-)
-WEATHER_KEYS = ("weather[0].description", "weather[0].icon")
+DAY_TEMPS = ("min", "max", "day", "night")
+WEATHER_KEYS = ("description", "icon")
 
 
-def _all_present(v: Column, keys: Sequence[str]) -> Column:
-    test = is_present(v, f"$.{keys[0]}")
-    for key in keys[1:]:
-        test = test & is_present(v, f"$.{key}")
-    return test
+def _members(names: Sequence[str]) -> str:
+    return ", ".join(f"{n}: VARIANT" for n in names)
+
+
+# All fields VARIANT: a key has to be there, but may hold JSON null.
+_WEATHER = f"weather: ARRAY<STRUCT<{_members(WEATHER_KEYS)}>>, pop: VARIANT"
+_READING = f"STRUCT<{_members(READING_KEYS)}, {_WEATHER}>"
+_DAY = (
+    f"STRUCT<{_members([k for k in READING_KEYS if k != 'temp'])}, "
+    f"temp: STRUCT<{_members(DAY_TEMPS)}>, {_WEATHER}>"
+)
+COMBINED = f"current {_READING}, hourly ARRAY<{_READING}>, daily ARRAY<{_DAY}>"
+
+
+def _typed(docs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sections of each document, cut to the entries that are kept, and the first fault."""
+    d = F.from_json("body", COMBINED)
+    sections = docs.select(*by, "body", d.alias("d")).select(
+        *by,
+        "body",
+        F.col("d.current").alias("current"),
+        F.slice("d.hourly", 1, HOURS_KEPT).alias("hourly"),
+        F.slice("d.daily", 1, DAYS_KEPT).alias("daily"),
+    )
+    return sections.withColumn("fault", _fault())
 
 
 def _readable(v: Column, keys: Sequence[str]) -> Column:
     """Every needed key is there and the epoch is a number."""
-    return _all_present(v, (*keys, *WEATHER_KEYS)) & at(v, "$.dt", "bigint").isNotNull()
+    weather = F.get(v["weather"], F.lit(0))
+    test = _number(v["dt"], "bigint").isNotNull()
+    for item in (*(v[k] for k in keys), *(weather[k] for k in WEATHER_KEYS)):
+        test = test & item.isNotNull()
+    return test
 
 
-def _hours(v: Column) -> Column:
-    return F.slice(array_at(v, "$.hourly"), 1, HOURS_KEPT)
+def _readable_day(v: Column) -> Column:
+    test = _readable(v, [k for k in READING_KEYS if k not in ("temp", "feels_like")])
+    for k in DAY_TEMPS:
+        test = test & v["temp"][k].isNotNull()
+    return test
 
 
-def _days(v: Column) -> Column:
-    return F.slice(array_at(v, "$.daily"), 1, DAYS_KEPT)
+def _fault() -> Column:
+    """First section that cannot be read. A typed section is NULL both when it is absent and when
+    it is of another shape; the body is parsed again for that one question only."""
 
+    def absent(section: str) -> Column:
+        return ~is_present(F.try_parse_json("body"), f"$.{section}")
 
-def _fault(v: Column) -> Column:
-    """First section that cannot be read; only the entries that are kept count."""
-    broken_hours = is_present(v, "$.hourly") & ~F.coalesce(
-        F.forall(_hours(v), lambda h: _readable(h, READING_KEYS)), F.lit(False)
-    )
-    broken_days = is_present(v, "$.daily") & ~F.coalesce(
-        F.forall(_days(v), lambda d: _readable(d, DAY_KEYS)), F.lit(False)
-    )
+    def broken(section: str, readable: Column) -> Column:
+        return F.when(F.col(section).isNotNull(), ~readable).otherwise(~absent(section))
+
+    unread = F.col("current").isNull() & F.col("hourly").isNull() & F.col("daily").isNull()
+    doc = F.try_parse_json("body")
     return (
-        F.when(v.isNull(), "unreadable")
-        .when(~is_object(v), "not_an_object")
+        F.when(unread & doc.isNull(), "unreadable")
+        .when(unread & ~is_object(doc), "not_an_object")
+        .when(broken("current", _readable(F.col("current"), READING_KEYS)), "current_incomplete")
         .when(
-            is_present(v, "$.current") & ~_readable(at(v, "$.current"), READING_KEYS),
-            "current_incomplete",
+            broken("hourly", F.forall("hourly", lambda h: _readable(h, READING_KEYS))),
+            "hourly_incomplete",
         )
-        .when(broken_hours, "hourly_incomplete")
-        .when(broken_days, "daily_incomplete")
+        .when(broken("daily", F.forall("daily", _readable_day)), "daily_incomplete")
     )
 
 
 def combined_faults(docs: DataFrame) -> DataFrame:
     """Documents that yield no rows, with the reason."""
-    checked = parsed(docs, out="_doc").withColumn("reason", _fault(F.col("_doc"))).drop("_doc")
+    keys = [c for c in docs.columns if c != "body"]
+    checked = _typed(docs, keys).select(*keys, "body", F.col("fault").alias("reason"))
     return checked.filter(F.col("reason").isNotNull())
 
 
@@ -86,60 +111,63 @@ def validate_combined(docs: DataFrame) -> DataFrame:
     return checked.withColumn("is_valid", F.col("reason").isNull())
 
 
-def _reading(v: Column) -> list[Column]:
+def _number(v: Column, type_name: str) -> Column:
+    return F.try_variant_get(v, "$", type_name)
+
+
+def _measures(e: Column) -> list[Column]:
+    weather = F.get(e["weather"], F.lit(0))
+    return [
+        _number(e["humidity"], "int").alias("humidity"),
+        _number(e["pressure"], "int").alias("pressure"),
+        _number(e["wind_speed"], "double").alias("wind_speed"),
+        _number(e["wind_deg"], "int").alias("wind_deg"),
+        _number(weather["description"], "string").alias("description"),
+        _number(weather["icon"], "string").alias("icon"),
+    ]
+
+
+def _reading(e: Column) -> list[Column]:
     return [
-        epoch_to_utc(at(v, "$.dt", "bigint")).alias("timestamp"),
-        at(v, "$.temp", "double").alias("temp"),
-        at(v, "$.feels_like", "double").alias("feels_like"),
-        at(v, "$.humidity", "int").alias("humidity"),
-        at(v, "$.pressure", "int").alias("pressure"),
-        at(v, "$.wind_speed", "double").alias("wind_speed"),
-        at(v, "$.wind_deg", "int").alias("wind_deg"),
-        at(v, "$.weather[0].description", "string").alias("description"),
-        at(v, "$.weather[0].icon", "string").alias("icon"),
+        epoch_to_utc(_number(e["dt"], "bigint")).alias("timestamp"),
+        _number(e["temp"], "double").alias("temp"),
+        _number(e["feels_like"], "double").alias("feels_like"),
+        *_measures(e),
     ]
 
 
-def _pop(v: Column) -> Column:
+def _pop(e: Column) -> Column:
     """Probability as given (already 0…1); 0.0 only where the key is absent."""
-    return F.when(is_present(v, "$.pop"), at(v, "$.pop", "double")).otherwise(0.0).alias("pop")
+    given = e["pop"]
+    return F.when(given.isNull(), 0.0).otherwise(_number(given, "double")).alias("pop")
 
 
 def _entries(docs: DataFrame, by: Sequence[str], entries: Column) -> DataFrame:
-    """One row per kept entry of the readable documents, as variant ``e``."""
-    checked = parsed(docs).withColumn("fault", _fault(F.col("doc")))
-    return checked.select(*by, F.explode(F.when(F.col("fault").isNull(), entries)).alias("e"))
+    """One row ``e`` per kept entry of the readable documents."""
+    return _typed(docs, by).select(
+        *by, F.explode(F.when(F.col("fault").isNull(), entries)).alias("e")
+    )
 
 
 def combined_current(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     """Current-weather rows of combined documents."""
-    one = at(F.col("doc"), "$.current")
-    return _entries(docs, by, F.when(one.isNotNull(), F.array(one))).select(
-        *by, *_reading(F.col("e"))
-    )
+    one = F.when(F.col("current").isNotNull(), F.array("current"))
+    return _entries(docs, by, one).select(*by, *_reading(F.col("e")))
 
 
 def combined_hourly(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     """Hourly rows: the first 48 entries per document."""
     e = F.col("e")
-    return _entries(docs, by, _hours(F.col("doc"))).select(*by, *_reading(e), _pop(e))
+    return _entries(docs, by, F.col("hourly")).select(*by, *_reading(e), _pop(e))
 
 
 def combined_daily(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     """Daily rows: the first seven entries per document."""
     e = F.col("e")
-    return _entries(docs, by, _days(F.col("doc"))).select(
+    return _entries(docs, by, F.col("daily")).select(
         *by,
-        epoch_to_utc(at(e, "$.dt", "bigint")).cast("date").alias("date"),
-        at(e, "$.temp.min", "double").alias("temp_min"),
-        at(e, "$.temp.max", "double").alias("temp_max"),
-        at(e, "$.temp.day", "double").alias("temp_day"),
-        at(e, "$.temp.night", "double").alias("temp_night"),
-        at(e, "$.humidity", "int").alias("humidity"),
-        at(e, "$.pressure", "int").alias("pressure"),
-        at(e, "$.wind_speed", "double").alias("wind_speed"),
-        at(e, "$.wind_deg", "int").alias("wind_deg"),
-        at(e, "$.weather[0].description", "string").alias("description"),
-        at(e, "$.weather[0].icon", "string").alias("icon"),
+        epoch_to_utc(_number(e["dt"], "bigint")).cast("date").alias("date"),
+        *[_number(e["temp"][k], "double").alias(f"temp_{k}") for k in DAY_TEMPS],
+        *_measures(e),
         _pop(e),
     )

@@ -1,8 +1,10 @@
 """Landed JSON documents: reading, parsing, and shape checks.
 
 A document frame has the ``by`` keys, ``body`` (JSON text) and ``ingested_at`` (zone-less UTC time
-of arrival). Bodies are parsed once into VARIANT, which keeps "key absent" (SQL NULL) apart from
-"key present with JSON null" (a void variant).
+of arrival). The flatteners parse a body once, with ``from_json`` and the columns they need. Where
+"key absent" and "key with JSON null" mean different things, or the JSON type matters, the field is
+declared VARIANT: it is SQL NULL if the key is absent and a void variant for JSON null. Plain types
+are used for all other fields, since reading a value out of a VARIANT costs several times as much.
 """
 
 from __future__ import annotations
@@ -63,15 +65,19 @@ def is_present(v: Column, path: str) -> Column:
     return at(v, path).isNotNull()
 
 
-def has_value(v: Column, path: str) -> Column:
-    """The key exists and its value is not JSON null."""
-    item = at(v, path)
-    return item.isNotNull() & ~F.is_variant_null(item)
+def text(v: Column) -> Column:
+    """A VARIANT scalar as text; NULL if absent or JSON null."""
+    return F.try_variant_get(v, "$", "string")
 
 
-def string_at(v: Column, path: str) -> Column:
-    """The value if it is a JSON string; NULL for numbers, objects, null and absent keys."""
-    return F.when(F.schema_of_variant(at(v, path)) == "STRING", at(v, path, "string"))
+def text_only(v: Column) -> Column:
+    """The text of a JSON string; NULL for every other JSON type."""
+    return F.when(F.schema_of_variant(v) == "STRING", text(v))
+
+
+def text_or_unknown(v: Column) -> Column:
+    """Condition text: an absent key gives 'Unknown', JSON null stays NULL."""
+    return F.when(v.isNull(), "Unknown").otherwise(text(v))
 
 
 def array_at(v: Column, path: str) -> Column:

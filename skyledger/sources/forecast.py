@@ -16,49 +16,65 @@ from skyledger.functions.clock import iso_local_date, iso_to_utc
 from skyledger.functions.conditions import compass_degrees, icon_code
 from skyledger.functions.numbers import whole
 from skyledger.functions.units import forecast_celsius, percent_to_fraction, wind_text_mps
-from skyledger.sources.documents import array_at, at, has_value, is_present, parsed
-from skyledger.sources.documents import string_at
-from skyledger.sources.observation import text_or_unknown
+from skyledger.sources.documents import text, text_only, text_or_unknown
 
 HOURS_KEPT = 48
 DAYS_KEPT = 7
 # Estimated spread between day and night when only one of the two is forecast (degrees).
 HALF_DAY_SPREAD = 5.0
 
-PERIODS = "$.properties.periods"
+# VARIANT where an absent key has a default that JSON null has not, or the JSON type matters.
+_WEATHER = (
+    "startTime: STRING, temperature: STRING, temperatureUnit: VARIANT, windSpeed: VARIANT, "
+    "windDirection: VARIANT, shortForecast: VARIANT, probabilityOfPrecipitation: STRING"
+)
+HOURLY_PERIOD = f"STRUCT<{_WEATHER}, relativeHumidity: STRING>"
+DAILY_PERIOD = f"STRUCT<{_WEATHER}, isDaytime: VARIANT>"
+
+
+def periods_of(docs: DataFrame, period: str, by: Sequence[str]) -> DataFrame:
+    """The ``periods`` list of each document, typed; NULL where it is no list.
+
+    One entry that is no object makes the typed parse give up on the whole list. Only such a
+    document is read again entry by entry, where the stray entry becomes a period without a time.
+    """
+    body = F.col("body")
+    typed = F.from_json(body, f"properties STRUCT<periods: ARRAY<{period}>>")
+    loose = F.from_json(body, "properties STRUCT<periods: ARRAY<STRING>>")["properties"]["periods"]
+    one_by_one = F.transform(loose, lambda entry: F.from_json(entry, period))
+    return docs.select(*by, F.coalesce(typed["properties"]["periods"], one_by_one).alias("periods"))
 
 
 def _temperature(p: Column) -> Column:
-    unit = F.when(
-        is_present(p, "$.temperatureUnit"), at(p, "$.temperatureUnit", "string")
-    ).otherwise("F")
-    return forecast_celsius(at(p, "$.temperature", "double"), unit)
+    unit = p["temperatureUnit"]
+    return forecast_celsius(p["temperature"], F.when(unit.isNull(), "F").otherwise(text(unit)))
 
 
 def _temperature_is_broken(p: Column) -> Column:
     """A temperature that is given but is no number; the period is then given up."""
-    return has_value(p, "$.temperature") & at(p, "$.temperature", "double").isNull()
+    given = p["temperature"]
+    return given.isNotNull() & given.try_cast("double").isNull()
 
 
-def _quantity_or_number(p: Column, path: str) -> Column:
-    """Number of a {value: n} object or a bare number; NULL if unreadable."""
-    return F.coalesce(at(p, f"{path}.value", "double"), at(p, path, "double"))
+def _quantity_or_number(raw: Column) -> Column:
+    """Text of the number in a {value: n} object, or of a bare number."""
+    return F.when(raw.startswith("{"), F.get_json_object(raw, "$.value")).otherwise(raw)
 
 
 def _wind(p: Column) -> Column:
     """Wind speed; a period without the key counts as calm, null or '' as unknown."""
-    return F.when(is_present(p, "$.windSpeed"), wind_text_mps(string_at(p, "$.windSpeed"))).otherwise(
-        0.0
-    )
+    wind = p["windSpeed"]
+    return F.when(wind.isNull(), 0.0).otherwise(wind_text_mps(text_only(wind)))
 
 
 def _direction(p: Column) -> Column:
     """Compass label; a period without the key counts as north."""
-    return F.when(is_present(p, "$.windDirection"), at(p, "$.windDirection", "string")).otherwise("N")
+    label = p["windDirection"]
+    return F.when(label.isNull(), "N").otherwise(text(label))
 
 
 def _pop(p: Column) -> Column:
-    return percent_to_fraction(_quantity_or_number(p, "$.probabilityOfPrecipitation"))
+    return percent_to_fraction(_quantity_or_number(p["probabilityOfPrecipitation"]))
 
 
 def hourly_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
@@ -66,28 +82,36 @@ def hourly_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
 
     Periods without a readable start time, or with a temperature that is no number, are dropped.
     """
-    # Two steps: cut the array before it is unpacked, and give each period to the projection once.
-    periods = parsed(docs).select(
-        *by,
-        F.posexplode(F.slice(array_at(F.col("doc"), PERIODS), 1, HOURS_KEPT)).alias("pos", "p"),
-    )
+    listed = periods_of(docs, HOURLY_PERIOD, by)
+    kept = F.slice("periods", 1, HOURS_KEPT)
     p = F.col("p")
-    temp = _temperature(p)
-    description = text_or_unknown(p, "$.shortForecast")
-    rows = periods.filter(~_temperature_is_broken(p)).select(
+    # Plain columns first: the derived ones below then reuse them instead of evaluating them anew.
+    plain = listed.select(*by, F.explode(kept).alias("p")).filter(
+        ~_temperature_is_broken(p) & iso_to_utc(p["startTime"]).isNotNull()
+    )
+    plain = plain.select(
         *by,
-        iso_to_utc(at(p, "$.startTime", "string")).alias("timestamp"),
-        temp.alias("temp"),
-        temp.alias("feels_like"),
-        whole(_quantity_or_number(p, "$.relativeHumidity")).alias("humidity"),
-        F.lit(None).cast("int").alias("pressure"),
+        iso_to_utc(p["startTime"]).alias("timestamp"),
+        _temperature(p).alias("temp"),
+        whole(_quantity_or_number(p["relativeHumidity"])).alias("humidity"),
         _wind(p).alias("wind_speed"),
-        compass_degrees(_direction(p)).alias("wind_deg"),
-        description.alias("description"),
-        icon_code(description).alias("icon"),
+        _direction(p).alias("label"),
+        text_or_unknown(p["shortForecast"]).alias("description"),
         _pop(p).alias("pop"),
     )
-    return rows.filter(F.col("timestamp").isNotNull())
+    return plain.select(
+        *by,
+        "timestamp",
+        "temp",
+        F.col("temp").alias("feels_like"),
+        "humidity",
+        F.lit(None).cast("int").alias("pressure"),
+        "wind_speed",
+        compass_degrees(F.col("label")).alias("wind_deg"),
+        "description",
+        icon_code(F.col("description")).alias("icon"),
+        "pop",
+    )
 
 
 _FOLD_ZERO = (
@@ -97,17 +121,17 @@ _FOLD_ZERO = (
 
 
 def _typed_period(p: Column) -> Column:
-    is_day = F.when(
-        is_present(p, "$.isDaytime"), F.coalesce(at(p, "$.isDaytime", "boolean"), F.lit(False))
-    ).otherwise(True)
+    is_day = p["isDaytime"]
     return F.struct(
-        iso_local_date(at(p, "$.startTime", "string")).alias("date"),
-        is_day.alias("is_day"),
+        iso_local_date(p["startTime"]).alias("date"),
+        F.when(is_day.isNull(), True)
+        .otherwise(F.coalesce(F.try_variant_get(is_day, "$", "boolean"), F.lit(False)))
+        .alias("is_day"),
         _temperature_is_broken(p).alias("broken"),
         _temperature(p).alias("temp"),
         _wind(p).alias("wind_speed"),
         compass_degrees(_direction(p)).alias("wind_deg"),
-        text_or_unknown(p, "$.shortForecast").alias("description"),
+        text_or_unknown(p["shortForecast"]).alias("description"),
         _pop(p).alias("pop"),
     )
 
@@ -144,16 +168,13 @@ def _as_struct(ddl: str) -> str:
 
 def day_night_fold(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     """One row per document and date (first seven dates): the folded day/night periods."""
-    periods = F.filter(
-        F.transform(array_at(F.col("doc"), PERIODS), _typed_period),
-        lambda p: p["date"].isNotNull(),
-    )
+    periods = F.filter(F.transform("periods", _typed_period), lambda p: p["date"].isNotNull())
     zero = F.struct(
         *[F.lit(None)] * 5, F.lit(False), F.lit(0.0)
     ).cast(f"struct<{_as_struct(_FOLD_ZERO)}>")
     dates = F.sort_array(F.array_distinct(F.transform("periods", lambda p: p["date"])))
     days = (
-        parsed(docs)
+        periods_of(docs, DAILY_PERIOD, by)
         .select(*by, periods.alias("periods"))
         .select(*by, "periods", F.explode(F.slice(dates, 1, DAYS_KEPT)).alias("date"))
     )

@@ -12,36 +12,58 @@ from skyledger.functions.clock import iso_to_utc
 from skyledger.functions.conditions import icon_code
 from skyledger.functions.numbers import whole
 from skyledger.functions.units import pressure_hpa, temperature_celsius, wind_mps
-from skyledger.sources.documents import at, has_value, is_present, parsed
+from skyledger.sources.documents import at, text_or_unknown
 
+# A quantity that is no object parses to NULL, which is what its readers want. Only the air
+# temperature and the text need to tell an absent key from a null one.
+_QUANTITY = "STRUCT<value: STRING, unitCode: STRING>"
+OBSERVATION = (
+    "properties STRUCT<timestamp: STRING, textDescription: VARIANT, temperature: VARIANT, "
+    f"heatIndex: {_QUANTITY}, windChill: {_QUANTITY}, relativeHumidity: {_QUANTITY}, "
+    f"barometricPressure: {_QUANTITY}, windSpeed: {_QUANTITY}, windDirection: {_QUANTITY}>"
+)
 
-def _quantity(v: Column, name: str) -> tuple[Column, Column]:
-    """Value and unit of a {value, unitCode} pair; both NULL if it is no object."""
-    path = f"$.properties.{name}"
-    return at(v, f"{path}.value", "double"), at(v, f"{path}.unitCode", "string")
 
+def observed(docs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row ``o`` per document that has a temperature key: its properties, with the air
+    temperature read out of its VARIANT."""
+    parsed = docs.select(
+        *by, "ingested_at", F.from_json("body", OBSERVATION)["properties"].alias("o")
+    )
+    air = F.col("o.temperature")
+    # An array of one or NULL through explode(): rejects without a filter, which Catalyst would push
+    # below the projection where it would parse every document a second time.
+    return parsed.select(
+        *by,
+        "ingested_at",
+        F.explode(F.when(air.isNotNull(), F.array("o"))).alias("o"),
+        at(air, "$.value", "string").alias("air_value"),
+        at(air, "$.unitCode", "string").alias("air_unit"),
+    )
+
+
+def _quantity(name: str) -> tuple[Column, Column]:
+    return F.col(f"o.{name}.value"), F.col(f"o.{name}.unitCode")
+
+
+def _air() -> tuple[Column, Column]:
+    return F.col("air_value"), F.col("air_unit")
 
-def feels_like(v: Column) -> Column:
+
+def feels_like() -> Column:
     """Heat index, else wind chill, else air temperature: the first one that carries a value.
 
     The choice looks at the raw value, so a present but unreadable heat index gives NULL.
     """
-    return (
-        F.when(
-            has_value(v, "$.properties.heatIndex.value"),
-            temperature_celsius(*_quantity(v, "heatIndex")),
-        )
-        .when(
-            has_value(v, "$.properties.windChill.value"),
-            temperature_celsius(*_quantity(v, "windChill")),
-        )
-        .otherwise(temperature_celsius(*_quantity(v, "temperature")))
-    )
+    heat, chill = _quantity("heatIndex"), _quantity("windChill")
+    use_heat, use_chill = heat[0].isNotNull(), chill[0].isNotNull()
 
+    def chosen(part: int) -> Column:
+        return (
+            F.when(use_heat, heat[part]).when(use_chill, chill[part]).otherwise(_air()[part])
+        )
 
-def text_or_unknown(v: Column, path: str) -> Column:
-    """Text at the path: absent gives 'Unknown', JSON null stays NULL."""
-    return F.when(is_present(v, path), at(v, path, "string")).otherwise("Unknown")
+    return temperature_celsius(chosen(0), chosen(1))
 
 
 def observation_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
@@ -50,21 +72,15 @@ def observation_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFra
     Documents without a ``temperature`` key are rejected; a null or malformed temperature keeps the
     row. A missing or unreadable time falls back to ``ingested_at``.
     """
-    v = F.col("doc")
-    description = text_or_unknown(v, "$.properties.textDescription")
-    observed = iso_to_utc(at(v, "$.properties.timestamp", "string"))
-    row = F.struct(
-        F.coalesce(observed, F.col("ingested_at")).alias("timestamp"),
-        temperature_celsius(*_quantity(v, "temperature")).alias("temp"),
-        feels_like(v).alias("feels_like"),
-        whole(_quantity(v, "relativeHumidity")[0]).alias("humidity"),
-        pressure_hpa(*_quantity(v, "barometricPressure")).alias("pressure"),
-        wind_mps(*_quantity(v, "windSpeed")).alias("wind_speed"),
-        whole(_quantity(v, "windDirection")[0]).alias("wind_deg"),
-        description.alias("description"),
-        icon_code(description).alias("icon"),
+    rows = observed(docs, by).select(
+        *by,
+        F.coalesce(iso_to_utc(F.col("o.timestamp")), F.col("ingested_at")).alias("timestamp"),
+        temperature_celsius(*_air()).alias("temp"),
+        feels_like().alias("feels_like"),
+        whole(F.col("o.relativeHumidity.value")).alias("humidity"),
+        pressure_hpa(*_quantity("barometricPressure")).alias("pressure"),
+        wind_mps(*_quantity("windSpeed")).alias("wind_speed"),
+        whole(F.col("o.windDirection.value")).alias("wind_deg"),
+        text_or_unknown(F.col("o.textDescription")).alias("description"),
     )
-    # A one-element array or NULL through inline(): rejects without a filter that Catalyst would
-    # push below the projection, where it would parse every document a second time.
-    accepted = F.when(is_present(v, "$.properties.temperature"), F.array(row))
-    return parsed(docs).select(*by, F.inline(accepted))
+    return rows.withColumn("icon", icon_code(F.col("description")))
