@@ -339,7 +339,7 @@ def _broken_reason(kind: str) -> str:
           when 6 then 'temperature_missing'""",
         "hourly": """when 3 then 'periods_missing' when 4 then 'periods_missing'
           when 5 then 'periods_not_a_list'""",
-    }[kind]
+    }["hourly" if kind == "daily" else kind]
     return f"case k % 8 {common} {arms} end"
 
 
@@ -420,7 +420,7 @@ def sql() -> dict[str, str]:
         "validate_documents": " union all ".join(
             f"""select k as doc_id, '{kind}' as kind, {_broken_reason(kind)} as reason,
               {_broken_reason(kind)} is null as is_valid from grid"""
-            for kind in ("points", "current", "hourly")
+            for kind in ("points", "current", "hourly", "daily")
         ),
         # cleaning and staging
         "clean_current": "select * from clean_current",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,9 +133,9 @@ def validate_documents(spark, sf_dir):
         documents.validate_documents(docs, kind).select(
             "doc_id", F.lit(kind).alias("kind"), "reason", "is_valid"
         )
-        for kind in ("points", "current", "hourly")
+        for kind in documents.DOCUMENT_KINDS
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register

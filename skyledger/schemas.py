@@ -67,3 +67,9 @@ def create_raw_tables(spark: SparkSession, by: Sequence[str] = DEFAULT_BY) -> No
             f"CREATE TABLE IF NOT EXISTS {name} ({keys}{columns}, event_date DATE) "
             "USING parquet PARTITIONED BY (event_date)"
         )
+
+
+def insert_raw(df: DataFrame, table: str, by: Sequence[str] = DEFAULT_BY) -> None:
+    """Append rows to a table made by :func:`create_raw_tables`, matched by name."""
+    rows = conform(df, RAW_TABLES[table], by)
+    rows.withColumn("event_date", F.to_date(TIME_KEY[table])).write.insertInto(table)
