@@ -51,6 +51,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,7 @@ import time
 
 import duckdb
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks import oracle
 from checks.queries import REGISTRY
@@ -38,11 +38,10 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
     return sorted(zip(*columns)) if columns else []
 
 
-def check(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
-    """None if equal, else what differs."""
-    df = REGISTRY[name](spark, sf_dir)
+def check(df: DataFrame, con, text: str) -> str | None:
+    """None if the frame equals the result of the SQL text, else what differs."""
     got = df.toArrow()
-    want = con.execute(oracle.sql()[name]).to_arrow_table()
+    want = con.sql(text).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {sorted(set(got.column_names) ^ set(want.column_names))}"
     types = [
@@ -77,6 +76,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -86,7 +86,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            fault = check(spark, con, sf_dir, name) if name in sql else "no oracle"
+            fault = check(REGISTRY[name](spark, sf_dir), con, sql[name])
         except Exception as e:  # report and go on to the next query
             fault = f"{type(e).__name__}: {str(e)[:600]}"
         bad += fault is not None

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyledger import DEFAULT_BY
 from skyledger.plans.batch import ARRIVAL, FLATTENERS
-from skyledger.schemas import RAW_TABLES, conform
+from skyledger.schemas import RAW_TABLES, TIME_KEY, conform
 from skyledger.session import checkpoint_root
 from skyledger.sources.documents import split_valid
 from skyledger.sources.tables import with_event_date
@@ -42,11 +42,14 @@ def ingest_stream(
     by: Sequence[str] = DEFAULT_BY,
     interval: str | None = None,
     checkpoint: str | None = None,
+    files_per_day: int = 8,
 ) -> StreamingQuery:
     """Flatten newly landed documents of one kind into its raw table, each file exactly once.
 
-    Flattening is narrow, so the query keeps no state but the list of files seen. ``interval``
-    ("10 minutes") polls; without it all waiting files are taken and the query ends. The file sink
+    Flattening is narrow, so the query keeps no state but the list of files seen. Before the sink
+    the rows of a day are gathered into at most ``files_per_day`` parts, or every task would write a
+    file for every day its forecasts reach; station and time are hashed together, so a hot station
+    is spread as well. ``interval`` ("10 minutes") polls; without it all waiting files are taken and the query ends. The file sink
     keeps a commit log in the table folder: one streaming query writes it, nothing else does.
     ``job`` is the lasting name of the query: its progress is kept under it in the cluster's shared
     checkpoint folder, or in ``checkpoint`` where the cluster names none.
@@ -54,7 +57,9 @@ def ingest_stream(
     table, flatten = FLATTENERS[kind]
     rows = conform(flatten(docs, (*by, ARRIVAL)), RAW_TABLES[table], (*by, ARRIVAL))
     place = f"{checkpoint_root(docs.sparkSession, checkpoint)}/{job}/ingest_{kind}"
-    return _append(with_event_date(rows, table), f"{root}/{table}", place, interval)
+    part = F.pmod(F.xxhash64(*by, TIME_KEY[table], ARRIVAL), F.lit(files_per_day))
+    gathered = with_event_date(rows, table).repartition("event_date", part)
+    return _append(gathered, f"{root}/{table}", place, interval)
 
 
 def quarantine_stream(

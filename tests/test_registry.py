@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from checks import oracle
 from checks.compare import check, duck
 from checks.queries import REGISTRY
 from tests.conftest import SF
@@ -18,6 +19,9 @@ SINGLE_ROW_OR_TOP_N = {
 }
 
 
+SQL = oracle.sql()
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
@@ -31,8 +35,9 @@ def test_contract(spark):
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_oracle_and_plan_is_sound(spark, con, name):
-    assert check(spark, con, SF, name) is None
-    plan = REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    df = REGISTRY[name](spark, SF)
+    assert check(df, con, SQL[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
         assert bad not in plan
     if name not in SINGLE_ROW_OR_TOP_N:
