@@ -90,7 +90,7 @@ def main() -> int:
         except Exception as e:  # report and go on to the next query
             fault = f"{type(e).__name__}: {str(e)[:600]}"
         bad += fault is not None
-        rows = con.execute(f"select count(*) from ({sql[name]})").fetchone()[0] if not fault else ""
+        rows = con.execute(f"select count(*) from ({sql[name]})").fetchall()[0][0] if not fault else ""
         print(f"{'ok ' if fault is None else 'BAD'} {name} {rows} {time.time() - start:.1f}s {fault or ''}", flush=True)
     print(f"{len(names) - bad} of {len(names)} equal")
     return bad
