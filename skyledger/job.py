@@ -1,8 +1,8 @@
 """Command line for ``spark-submit``: ingest landed documents, rebuild the marts, or stream.
 
-    spark-submit -m skyledger.job ingest --landed DIR --root DIR
-    spark-submit -m skyledger.job marts --root DIR
-    spark-submit -m skyledger.job stream --landed DIR --root DIR --job NAME [--every "10 minutes"]
+    spark-submit --py-files skyledger.zip skyledger/job.py ingest --landed DIR --root DIR
+    spark-submit --py-files skyledger.zip skyledger/job.py marts --root DIR
+    spark-submit --py-files skyledger.zip skyledger/job.py stream --landed DIR --root DIR --job NAME [--every "10 minutes"]
 
 The landing folder holds ``current/``, ``hourly/`` and ``daily/``, each with folders
 ``location_id=…`` of JSON documents. A raw folder is fed either by ``ingest`` or by ``stream``.
@@ -55,4 +55,5 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("skyledger").getOrCreate(), arguments())
+    parsed = arguments()
+    run(SparkSession.builder.appName("skyledger").getOrCreate(), parsed)
