@@ -166,17 +166,32 @@ def shingle_sets(part: Slice, k: int) -> list[np.ndarray]:
     return out
 
 
-def with_columns(df: DataFrame, text: str, make: Callable[[pa.Array], list[pa.Array]], ddl: str) -> DataFrame:
-    """``df`` with the columns of ``ddl`` that ``make`` derives from a batch of texts; columns of the
-    same names in ``df`` are replaced."""
+def pieces(column: pa.Array, limit: int) -> Iterator[slice]:
+    """Row ranges of about ``limit`` bytes of text each, at least one row."""
+    for part in slices(column, limit):
+        yield slice(part.first, part.first + part.n)
+
+
+def with_columns(
+    df: DataFrame,
+    text: str,
+    make: Callable[[pa.Array], list[pa.Array]],
+    ddl: str,
+    limit: int = 4 * SLICE_BYTES,
+) -> DataFrame:
+    """``df`` with the columns of ``ddl`` that ``make`` derives from about ``limit`` bytes of texts at a
+    time; columns of the same names in ``df`` are replaced (not the text itself: name another column)."""
     new = T.StructType.fromDDL(ddl)
     taken = {name.lower() for name in new.names}
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken or c == text])
     at = kept.columns.index(text)
+    schema = T.StructType([*kept.schema.fields, *new.fields])
 
     def run(batches):
         for batch in batches:
-            made = make(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *new.names])
+            for rows in pieces(batch.column(at), limit):
+                own = batch.slice(rows.start, rows.stop - rows.start)
+                made = make(own.column(at))
+                yield pa.RecordBatch.from_arrays([*own.columns, *made], schema.names)
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *new.fields]))
+    return kept.mapInArrow(run, schema)
