@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.byte_pairs import op10_byte_pairs
 from skyledger.llm.quality_classifier import op2_quality_classifier
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op10_byte_pairs": op10_byte_pairs,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
