@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.byte_pairs import op10_byte_pairs
 from skyledger.llm.perplexity import op3_perplexity
+from skyledger.llm.personal_data import op7_personal_data
 from skyledger.llm.quality_classifier import op2_quality_classifier
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_perplexity": op3_perplexity,
+    "op7_personal_data": op7_personal_data,
     "op10_byte_pairs": op10_byte_pairs,
 }
 
