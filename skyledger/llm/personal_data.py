@@ -410,7 +410,9 @@ def reconcile(text: str, base: list[tuple[str, int, int]], found: list[tuple[boo
         for a, b in tried:
             if b - a < LEAST_LENGTH or not DIGIT_OR_AT.search(text, a, b) or not plausible(kind, text[a:b]):
                 continue
-            if not any(a < y and x < b for x, y in standing):
+            cut_number = text[a : a + 1].isdigit() and text[a - 1 : a].isdigit() and a > 0
+            cut_number |= text[b - 1 : b].isdigit() and text[b : b + 1].isdigit()
+            if not cut_number and not any(a < y and x < b for x, y in standing):
                 standing.append((a, b))
                 out.append((kind, a, b))
     return out
