@@ -7,16 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.byte_pairs import op10_byte_pairs
+from skyledger.llm.main_text import op8_main_text
 from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
 from skyledger.llm.quality_classifier import op2_quality_classifier
+from skyledger.llm.warc import op4_warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_perplexity": op3_perplexity,
+    "op4_warc": op4_warc,
     "op7_personal_data": op7_personal_data,
+    "op8_main_text": op8_main_text,
     "op10_byte_pairs": op10_byte_pairs,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_warc": """
+        with pages_ as (
+            select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                   sha1(coalesce(html, '')) as payload_digest
+            from pages
+        ), judged as (
+            select *, max(page_id) over (partition by payload_digest) as newest from pages_
+        )
+        select page_id, payload_bytes, payload_digest,
+               case when payload_bytes >= 1000 and page_id <> newest then 'revisit' else 'response' end as record_type,
+               case when payload_bytes >= 1000 and page_id <> newest then newest end as refers_to,
+               true as verified
+        from judged
+    """,
+}
