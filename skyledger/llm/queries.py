@@ -11,12 +11,16 @@ from skyledger.llm.main_text import op8_main_text
 from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
 from skyledger.llm.quality_classifier import op2_quality_classifier
+from skyledger.llm.token_counts import op6_token_counts
+from skyledger.llm.url_trust import op5_url_trust
 from skyledger.llm.warc import op4_warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_perplexity": op3_perplexity,
     "op4_warc": op4_warc,
+    "op5_url_trust": op5_url_trust,
+    "op6_token_counts": op6_token_counts,
     "op7_personal_data": op7_personal_data,
     "op8_main_text": op8_main_text,
     "op10_byte_pairs": op10_byte_pairs,
