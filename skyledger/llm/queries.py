@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.byte_pairs import op10_byte_pairs
+from skyledger.llm.decontaminate import op1_decontaminate
 from skyledger.llm.main_text import op8_main_text
 from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
@@ -16,6 +17,7 @@ from skyledger.llm.url_trust import op5_url_trust
 from skyledger.llm.warc import op4_warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_perplexity": op3_perplexity,
     "op4_warc": op4_warc,
