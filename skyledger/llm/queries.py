@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.byte_pairs import op10_byte_pairs
 from skyledger.llm.decontaminate import op1_decontaminate
+from skyledger.llm.jaccard_join import op9_jaccard_join
 from skyledger.llm.main_text import op8_main_text
 from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
@@ -25,6 +26,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_personal_data": op7_personal_data,
     "op8_main_text": op8_main_text,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_byte_pairs": op10_byte_pairs,
 }
 
