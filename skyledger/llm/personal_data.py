@@ -476,9 +476,8 @@ def op7_personal_data(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = with_spans(docs, train(docs)).select("doc_id", "pii_spans")
     base = F.filter("pii_spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS
-    ]
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select(
         "doc_id",
         *counts,
