@@ -4,8 +4,8 @@ The language model is an interpolated modified Kneser-Ney model over symbols. A
 64 symbols of ``SYMBOL`` (letters without case, one digit, single signs, classes for all else; white
 space runs are one space), framed by borders. Spark counts the 4-grams of every text per language;
 each task adds up its own counts before the shuffle. There are at most 64**4 grams a language, which
-bounds the model; lower orders follow from the highest one. All probabilities and back-off weights
-stand in one sorted array of 64-bit hashes of (language, order, gram), searched by bisection.
+bounds the model; lower orders follow from the highest one. Probabilities and back-off weights stand in
+two sorted arrays of 64-bit hashes of (language, order, gram), searched by bisection.
 
 A text's score is its negative log-probability per word, the log of its word perplexity. For each language the quartiles of
 the scores of all texts that pass the base rules give a band, quartile distance times ``FENCE`` (at
@@ -154,25 +154,34 @@ def hashed(language: str, order: int, gram: np.ndarray) -> np.ndarray:
     return W.mix(W.mix(gram.astype(np.uint64) + np.uint64(order << 32)) ^ seed)
 
 
-class Model:
-    """Sorted hashes of (language, order, gram) with log-probability and log back-off weight."""
+class Table:
+    """Sorted hashes of (language, order, gram) with a logarithm each."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
-        keys, probabilities, weights = [], [], []
-        for language, (gram, n) in counts.items():
-            for order, (own, p, weight) in enumerate(kneser_ney(gram, n), 1):
-                keys.append(hashed(language, order, own))
-                probabilities.append(p)
-                weights.append(weight)
-        key = np.concatenate([*keys, np.zeros(0, np.uint64)])
+    def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        key = np.concatenate([*(k for k, _ in entries), np.zeros(0, np.uint64)])
         order = np.argsort(key)
         self.key = key[order]
-        self.p = np.log(np.concatenate([*probabilities, np.zeros(0)]))[order].astype(np.float32)
-        self.weight = np.log(np.concatenate([*weights, np.zeros(0)]))[order].astype(np.float32)
+        self.log = np.log(np.concatenate([*(v for _, v in entries), np.zeros(0)]))[order].astype(np.float32)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.key, keys), max(len(self.key) - 1, 0))
-        return at, (self.key[at] == keys if len(self.key) else np.zeros(len(keys), bool))
+        """The logarithms (0 where absent) and which keys are there."""
+        if not len(self.key):
+            return np.zeros(len(keys), np.float32), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        seen = self.key[at] == keys
+        return np.where(seen, self.log[at], np.float32(0)), seen
+
+
+class Model:
+    """Probabilities of seen grams, and back-off weights of seen contexts."""
+
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
+        grams_, contexts = [], []
+        for language, (gram, n) in counts.items():
+            for order, (own, p, context, weight) in enumerate(kneser_ney(gram, n), 1):
+                grams_.append((hashed(language, order, own), p))
+                contexts.append((hashed(language, order - 1, context), weight))
+        self.grams, self.contexts = Table(grams_), Table(contexts)
 
     def log_probability(self, language: str, gram: np.ndarray) -> np.ndarray:
         """Of each gram's last symbol after the ones before it; unseen grams back off."""
@@ -180,20 +189,18 @@ class Model:
         open_ = np.arange(len(gram))
         for order in range(ORDER, 0, -1):
             own = gram[open_] & np.uint32((1 << BITS * order) - 1)
-            at, seen = self.find(hashed(language, order, own))
-            out[open_[seen]] += self.p[at[seen]]
+            logs, seen = self.grams.find(hashed(language, order, own))
+            out[open_] += logs
             open_, own = open_[~seen], own[~seen]
             if not len(open_):
                 return out
-            if order > 1:
-                at, seen = self.find(hashed(language, order - 1, own >> np.uint32(BITS)))
-                out[open_[seen]] += self.weight[at[seen]]
+            out[open_] += self.contexts.find(hashed(language, order - 1, own >> np.uint32(BITS)))[0]
         out[open_] -= BITS * np.log(2)
         return out
 
 
-def kneser_ney(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For orders 1 to 4: grams, probabilities, and back-off weights of the grams as contexts.
+def kneser_ney(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """For orders 1 to 4: grams, their probabilities, contexts, and the contexts' back-off weights.
 
     Counts below the highest order are numbers of different symbols before a gram."""
     counts = {ORDER: (gram, n)}
@@ -201,7 +208,7 @@ def kneser_ney(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.nda
         longer = counts[order + 1][0]
         counts[order] = np.unique(longer & np.uint32((1 << BITS * order) - 1), return_counts=True)
     lower_key, lower_p = np.zeros(1, np.uint32), np.full(1, 1 / (1 << BITS))
-    out, weights = [], {}
+    out = []
     for order in range(1, ORDER + 1):
         key, count = counts[order]
         discount = discounts(count)[np.minimum(count, 3)]
@@ -210,18 +217,9 @@ def kneser_ney(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.nda
         weight = np.bincount(at, discount, len(context)) / total
         suffix = key & np.uint32((1 << BITS * (order - 1)) - 1)
         p = (count - discount) / total[at] + weight[at] * lower_p[np.searchsorted(lower_key, suffix)]
-        weights[order - 1] = (context, weight)
-        out.append((key, p))
+        out.append((key, p, context, weight))
         lower_key, lower_p = key, p
-    done = []
-    for order, (key, p) in enumerate(out, 1):
-        own = np.ones(len(key))
-        if order in weights:
-            context, weight = weights[order]
-            at = np.minimum(np.searchsorted(context, key), len(context) - 1)
-            own = np.where(context[at] == key, weight[at], 1.0)
-        done.append((key, p, own))
-    return done
+    return out
 
 
 def fit(docs: DataFrame) -> Model:

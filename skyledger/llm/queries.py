@@ -46,4 +46,34 @@ SQL: dict[str, str] = {
                true as verified
         from judged
     """,
+    "op9_jaccard_join": """
+        with recursive worded as (
+            select doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+            from documents
+        ), sets as (
+            select doc_id, case
+                when len(w) = 0 then cast([] as varchar[])
+                when len(w) < 4 then [array_to_string(w, ' ')]
+                else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                end as own
+            from worded
+        ), shingle as (
+            select doc_id, len(own) as n, unnest(own) as s from sets
+        ), shared as (
+            select a.doc_id as a, b.doc_id as b, a.n + b.n as both_sizes, count(*) as n
+            from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id, a.n, b.n
+        ), link as materialized (
+            select a, b from shared where 100 * n >= 85 * (both_sizes - n)
+        ), reach as (
+            select doc_id, doc_id as reached from documents
+            union
+            select reach.doc_id, link.b from reach join link on reach.reached = link.a
+        ), least_ as (
+            select doc_id, min(reached) as component_id from reach group by doc_id
+        )
+        select doc_id, len(own) as n_shingles, component_id from sets join least_ using (doc_id)
+    """,
 }
