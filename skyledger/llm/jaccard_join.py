@@ -34,10 +34,10 @@ hashes.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +45,16 @@ from pyspark.sql import functions as F
 from skyledger.llm import words as W
 from skyledger.llm.store import staged
 
-SKETCH = 1 << 20
-CHUNK = 1 << 14
+SKETCH = 1 << 22
+CHUNK = 1 << 16
+DEVIATIONS = 8
 FREQUENT = 8
 LEAST_BITS = 64
 CELL = 512
 PIVOTS = 8
 DEPTH = 3
 ROUNDS = 40
+PAIR_BYTES = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -81,6 +83,16 @@ def place(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(24)).astype(np.int64) % SKETCH
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as their width in bytes and the compressed numbers; most are small."""
+    width = next(w for w in (1, 2, 4, 8) if counts.max(initial=0) < 1 << 8 * w)
+    return bytes([width]) + zlib.compress(counts.astype(f"<u{width}").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
+
+
 def frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
     """The sketch: for each counter in how many documents its shingles occur. ``SKETCH`` numbers."""
 
@@ -89,29 +101,26 @@ def frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
         for batch in batches:
             for part in W.slices(batch.column(0)):
                 found = W.shingle_sets(part, rule.shingle)
-                if found:
-                    np.add(totals, np.bincount(place(np.concatenate(found)), minlength=SKETCH), out=totals)
-        chunks = range(SKETCH // CHUNK) if totals.any() else []
+                slot, n = np.unique(place(np.concatenate(found)), return_counts=True)
+                totals[slot] += n
+        chunks = range(0, SKETCH if totals.any() else 0, CHUNK)
+        numbers = pa.array([k // CHUNK for k in chunks], pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(chunks), pa.int32()),
-                pa.array([totals[k * CHUNK : (k + 1) * CHUNK].astype("<u4").tobytes() for k in chunks], pa.binary()),
-            ],
-            ["chunk", "counts"],
+            [numbers, pa.array([packed(totals[k : k + CHUNK]) for k in chunks], pa.binary())], ["chunk", "counts"]
         )
 
-    def add(key, frame):
+    def add(table: pa.Table) -> pa.Table:
         total = np.zeros(CHUNK, np.int64)
-        for counts in frame["counts"]:
-            total += np.frombuffer(counts, "<u4")
-        return pd.DataFrame({"chunk": [key[0]], "total": [total.tobytes()]})
+        for counts in table.column("counts"):
+            total += unpacked(counts.as_py())
+        return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([packed(total)], pa.binary())})
 
     parts = docs.select("text").mapInArrow(count, "chunk int, counts binary")
     # A task adds to each chunk once, so a group holds as many rows as there are tasks.
-    summed = parts.groupBy("chunk").applyInPandas(add, "chunk int, total binary")
+    summed = parts.groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     out = np.zeros(SKETCH, np.int64)
     for row in summed.collect():  # SKETCH / CHUNK rows, whatever the input
-        out[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.total, np.int64)
+        out[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = unpacked(bytes(row.counts))
     return out
 
 
@@ -136,7 +145,7 @@ def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles, same (digest of the set), prefix (first shingles in the order), bits."""
     sketch = frequencies(docs, rule)
     # Counters that stand out from the mean filling hold frequent shingles; all others are level.
-    level = int(2 * sketch.mean()) + FREQUENT
+    level = sketch.mean() + DEVIATIONS * np.sqrt(sketch.mean()) + FREQUENT
     sent = docs.sparkSession.sparkContext.broadcast(np.where(sketch > level, sketch, 0).astype(np.uint32))
 
     def run(texts):
@@ -312,29 +321,45 @@ def cut(members: DataFrame, rule: Rule) -> DataFrame:
 def crossing(members: DataFrame, rule: Rule) -> DataFrame:
     """a, b: pairs of members of a cell with different labels, within the window; one of them at home."""
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if frame["label"].nunique() > 1:
-            own = {size: part for size, part in frame.groupby(frame["bits"].str.len())}
-            for size, part in own.items():
-                x = np.stack([np.frombuffer(v, np.uint8) for v in part["bits"]])
+    def near(x: dict, y: dict, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of x and y that may link; their bits are one matrix each, of one width."""
+        ok = x["label"][:, None] != y["label"]
+        ok &= x["home"][:, None] | y["home"]
+        ok &= (x["side"][:, None] != y["side"]) | (y["side"] < 0)
+        n, m = x["n"][:, None], y["n"]
+        ok &= 100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m)
+        if same:
+            ok = np.triu(ok, 1)
+        i, j = np.nonzero(ok)
+        keep = [np.zeros(0, bool)]
+        step = max(1, PAIR_BYTES // x["bits"].shape[1])
+        for k in range(0, len(i), step):
+            a, b = i[k : k + step], j[k : k + step]
+            keep.append(differing(x["bits"][a], y["bits"][b]) <= rule.window(x["n"][a], y["n"][b]))
+        keep = np.concatenate(keep)
+        return x["node"][i[keep]], y["node"][j[keep]]
+
+    def compare(table: pa.Table) -> pa.Table:
+        rows = {c: table.column(c).to_numpy() for c in ("node", "n", "label", "home", "side")}
+        found = [(np.zeros(0, np.int64),) * 2]
+        if (rows["label"] != rows["label"][0]).any():
+            texts = table.column("bits").to_pylist()
+            width = np.array([len(t) for t in texts])
+            own = {}
+            for size in np.unique(width).tolist():
+                at = np.flatnonzero(width == size)
+                own[size] = {c: v[at] for c, v in rows.items()}
+                own[size]["bits"] = np.frombuffer(b"".join([texts[i] for i in at]), np.uint8).reshape(-1, size)
+            for size, x in own.items():
+                found.append(near(x, x, True))
                 # Linked sets are so near in size that their bits are at most twofold.
-                for other in {size, 2 * size} & own.keys():
-                    more = own[other]
-                    y = np.stack([folded(np.frombuffer(v, np.uint8), size) for v in more["bits"]])
-                    n, label, home, side, node = (more[c].to_numpy() for c in ("n", "label", "home", "side", "node"))
-                    for i, row in enumerate(part.itertuples(index=False)):
-                        ok = (label != row.label) & (home | row.home) & ((side != row.side) | (side < 0))
-                        at = np.flatnonzero(ok)
-                        if other == size:
-                            at = at[at > i]
-                        at = at[100 * np.minimum(n[at], row.n) >= rule.percent * np.maximum(n[at], row.n)]
-                        at = at[differing(x[i][None], y[at]) <= rule.window(n[at], row.n)]
-                        found_a.append(np.minimum(node[at], row.node))
-                        found_b.append(np.maximum(node[at], row.node))
-        return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
-
-    return members.groupBy("region").applyInPandas(compare, "a long, b long").filter("a <> b").distinct()
+                if 2 * size in own:
+                    more = own[2 * size]
+                    found.append(near(x, more | {"bits": folded(more["bits"], size)}, False))
+        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return members.groupBy("region").applyInArrow(compare, "a long, b long").filter("a <> b").distinct()
 
 
 def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
