@@ -14,25 +14,25 @@ from checks.views import (
     DAY_INDEX,
     FLAT_VIEWS,
     HOURLY_COUNT,
+    SEED,
     TEXTS,
 )
 
+# Upper limits and labels, and the label beyond them.
 LADDERS = {
-    "temp": "0 freezing, 10 cold, 20 cool, 30 warm, * hot",
-    "wind": "5 light, 15 moderate, 25 strong, * very_strong",
-    "pop": "0.1 low, 0.5 medium, * high",
-    "Temp": "0 Freezing, 10 Cold, 20 Cool, 30 Warm, * Hot",
-    "Wind": "5 Calm, 15 Moderate, 25 Strong, * Very Strong",
-    "Pop": "10 Low, 50 Medium, * High",
+    "temp": ((0, "freezing"), (10, "cold"), (20, "cool"), (30, "warm"), "hot"),
+    "wind": ((5, "light"), (15, "moderate"), (25, "strong"), "very_strong"),
+    "pop": ((0.1, "low"), (0.5, "medium"), "high"),
+    "Temp": ((0, "Freezing"), (10, "Cold"), (20, "Cool"), (30, "Warm"), "Hot"),
+    "Wind": ((5, "Calm"), (15, "Moderate"), (25, "Strong"), "Very Strong"),
+    "Pop": ((10, "Low"), (50, "Medium"), "High"),
 }
 
 
 def ladder(x: str, name: str) -> str:
-    arms = []
-    for step in LADDERS[name].split(", "):
-        limit, label = step.split(" ", 1)
-        arms.append(f"else '{label}'" if limit == "*" else f"when {x} < {limit} then '{label}'")
-    return f"case {' '.join(arms)} end"
+    *steps, last = LADDERS[name]
+    arms = " ".join(f"when {x} < {limit} then '{label}'" for limit, label in steps)
+    return f"case {arms} else '{last}' end"
 
 
 def rnd(x: str, n: int) -> str:
@@ -181,7 +181,7 @@ PARTS |= {
         {rnd("temp_variance_current_vs_hourly", 2)} as temperature_variance_current_vs_forecast,
         {ladder("final_avg_temp", "Temp")} as business_temperature_category
       from days where date is not null)""",
-    "trends": f"""select location_id, date,
+    "trends_joined": f"""select location_id, date,
         {rnd("d.final_avg_temp", 1)} as avg_temperature_celsius,
         {rnd("d.final_min_temp", 1)} as min_temperature_celsius,
         {rnd("d.final_max_temp", 1)} as max_temperature_celsius,
@@ -203,21 +203,68 @@ PARTS |= {
       from days d left join rolled using (location_id, date)
         left join ranked using (location_id, date) left join patterned using (location_id, date)
       where date is not null""",
+    # The same in one pass: every window stays within the days of one site whose average is known.
+    "windowed": """select *,
+        avg(final_avg_temp) over week as t7, avg(final_avg_temp) over month as t30,
+        avg(avg_humidity) over week as h7, avg(avg_wind_speed) over week as w7,
+        stddev_samp(final_avg_temp) over week as vol,
+        sign(final_avg_temp - lag(final_avg_temp) over run) as turn,
+        avg(final_avg_temp) over s as season_avg,
+        rank() over (s order by final_avg_temp desc nulls last) as season_rank
+      from (select *, final_avg_temp is not null as is_known from days)
+      window run as (partition by location_id, is_known order by date nulls last),
+        week as (partition by location_id, is_known order by date nulls last
+                 rows between 6 preceding and current row),
+        month as (partition by location_id, is_known order by date nulls last
+                  rows between 29 preceding and current row),
+        s as (partition by location_id, season, is_known)""",
+    "trends": f"""select location_id, date,
+        {rnd("final_avg_temp", 1)} as avg_temperature_celsius,
+        {rnd("final_min_temp", 1)} as min_temperature_celsius,
+        {rnd("final_max_temp", 1)} as max_temperature_celsius,
+        {rnd("avg_humidity", 0)} as avg_humidity_percent,
+        {rnd("avg_wind_speed", 1)} as avg_wind_speed_mps,
+        {rnd("avg_precipitation_probability * 100", 1)} as precipitation_probability_percent,
+        {rnd("if(is_known, t7, null)", 1)} as temperature_7day_moving_avg,
+        {rnd("if(is_known, t30, null)", 1)} as temperature_30day_moving_avg,
+        {rnd("if(is_known, h7, null)", 0)} as humidity_7day_moving_avg,
+        {rnd("if(is_known, w7, null)", 1)} as wind_7day_moving_avg,
+        {rnd("if(is_known, final_max_temp - final_min_temp, null)", 1)} as daily_temperature_range,
+        case when not is_known then null when turn > 0 then 'increasing'
+             when turn < 0 then 'decreasing' else 'stable' end as temp_trend_direction,
+        {rnd("if(is_known, vol, null)", 2)} as temperature_7day_volatility, season,
+        {rnd("if(is_known, season_avg, null)", 1)} as seasonal_average_temperature,
+        {rnd("final_avg_temp - season_avg", 1)} as temperature_deviation_from_seasonal_avg,
+        cast(if(is_known, season_rank, null) as int) as temp_rank_in_season,
+        case when not is_known then null when avg_precipitation_probability is null then 'unknown'
+             else case when final_avg_temp < 0 then 'cold_' when final_avg_temp <= 15 then 'cool_'
+                       when final_avg_temp <= 25 then 'mild_' else 'warm_' end
+               || if(avg_precipitation_probability > 0.5, 'wet', 'dry') end as weather_pattern,
+        case when not is_known then null when final_avg_temp > 30 then 'heat_wave'
+             when final_avg_temp < -10 then 'cold_snap' when avg_wind_speed > 20 then 'high_winds'
+             when avg_precipitation_probability > 0.8 then 'heavy_precipitation_expected'
+             else 'normal' end as extreme_weather_indicator,
+        case when is_known and final_avg_temp - season_avg > 5 then 'unusually_warm'
+             when is_known and final_avg_temp - season_avg < -5 then 'unusually_cold'
+             else 'seasonal_normal' end as temperature_anomaly,
+        case when is_known and vol > 10 then 'high_variability'
+             when is_known and vol > 5 then 'moderate_variability'
+             else 'low_variability' end as temperature_stability
+      from windowed where date is not null""",
     "polls": """select location_id, date, temp_min, temp_max + p.n * 0.25 as temp_max, pop,
         cast(p.n as int) as poll_no
       from raw_daily, unnest([1, 2, 3]) as p(n)""",
-    # Forecast periods of customer k, as rows; a NULL *_json stands for a key that is left out.
-    "hour_period": f"""select k, i, k + i as s, (k * 7 + i * 3) % 120 - 10 as number,
+    # Seed of each customer's documents, and their forecast periods as rows.
+    "grid": f"select cast(c_custkey as int) as doc_id, {SEED} as k from customer",
+    "hour_period": f"""select doc_id, k, i, k + i as s, (k * 7 + i * 3) % 120 - 10 as number,
         list_element({COMPASS}, cast((k + 5 * i) % 16 + 1 as int)) as compass,
         list_element({TEXTS}, cast((k + 3 * i) % 7 + 1 as int)) as words
-      from (select k, unnest(range(1, {HOURLY_COUNT} + 1)) as i
-            from (select cast(c_custkey as int) as k from customer))""",
-    "day_period": f"""select k, i, k + i as s, (k * 7 + i * 3) % 120 - 10 as number,
+      from (select doc_id, k, unnest(range(1, {HOURLY_COUNT} + 1)) as i from grid)""",
+    "day_period": f"""select doc_id, k, i, k + i as s, (k * 7 + i * 3) % 120 - 10 as number,
         list_element({COMPASS}, cast((k + 5 * i) % 16 + 1 as int)) as compass,
         list_element({TEXTS}, cast((k + 3 * i) % 7 + 1 as int)) as words,
         date '2024-01-01' + {DAY_INDEX} as date, s % 6 in (0, 2, 4) as is_day
-      from (select k, unnest(range(1, {DAILY_COUNT} + 1)) as i
-            from (select cast(c_custkey as int) as k from customer))
+      from (select doc_id, k, unnest(range(1, {DAILY_COUNT} + 1)) as i from grid)
       where s % 23 not in (0, 1)""",
 }
 
@@ -241,14 +288,14 @@ WORDS = "case s % 19 when 0 then 'Unknown' when 1 then null else words end"
 POP = """case when s % 9 in (0, 1, 2, 4, 5) then 0.0 else s % 101 / 100.0 end"""
 
 PARTS |= {
-    "typed_period": f"""select k, date, i, is_day, {CELSIUS} as t, {WIND} as w,
+    "typed_period": f"""select doc_id, date, i, is_day, {CELSIUS} as t, {WIND} as w,
         {DEGREES} as deg, {WORDS} as txt, cast({POP} as double) as pop, s % 17 = 1 as broken
       from day_period""",
     # The first period of a date that has a wind number; nights up to it may set the direction.
-    "first_wind": """select k, date, min(i) filter (w is not null and not broken) as first_i,
+    "first_wind": """select doc_id, date, min(i) filter (w is not null and not broken) as first_i,
         max(i) filter (is_day and not broken) as last_day
       from typed_period group by all""",
-    "folded": f"""select k as doc_id, date,
+    "folded": """select doc_id, date,
         arg_max(t, i) filter (is_day and t is not null and not broken) as temp_day,
         arg_max(t, i) filter (not is_day and t is not null and not broken) as temp_night,
         coalesce(arg_max(w, i) filter (is_day and w is not null and not broken),
@@ -259,11 +306,9 @@ PARTS |= {
           arg_min(txt, i) filter (not is_day and not broken and txt is not null
             and i > coalesce(last_day, 0))) as description,
         greatest(0.0, coalesce(max(pop) filter (not broken), 0.0)) as pop,
-        bool_or(not broken) as used,
-        row_number() over (partition by k order by date) as day_no
-      from typed_period join first_wind using (k, date)
-      group by k, date
-      qualify day_no <= 7""",
+        bool_or(not broken) as used
+      from typed_period join first_wind using (doc_id, date)
+      group by doc_id, date""",
     "obs": f"""select event_id, v,
         case event_id % 11 when 0 then 'Unknown' when 1 then null when 2 then 'Rain Showers'
           when 3 then 'Mostly Sunny' when 4 then 'Overcast' when 5 then 'Heavy Snow'
@@ -275,13 +320,16 @@ PARTS |= {
           when event_type = 'purchase' then v - cast(273.15 as double)
           else cast(v as double) end as temp
       from (select *, cast(floor(value) as int) as v from events)""",
-    "grid": "select cast(c_custkey as int) as k from customer",
-    "station_list": """select k, i, k % 50 <> 49 as listed,
+    "station_list": """select doc_id, k, i, k % 50 <> 49 as listed,
         if((k + i) % 4 in (0, 1), null, concat('S', k, '-', i)) as id
-      from (select k, unnest(range(1, k % 6 + 1)) as i from grid)""",
+      from (select doc_id, k, unnest(range(1, k % 6 + 1)) as i from grid)""",
 }
 
 
+# Parts that others use more than once.
+MATERIALIZED = {"days", "known", "rolled", "ranked", "patterned"}
+
+
 def _uses(name: str, text: str) -> bool:
     return re.search(rf"\b{name}\b", text) is not None
 
@@ -296,7 +344,8 @@ def query(text: str) -> str:
             pending += "\n" + PARTS[name]
     if not needed:
         return text
-    return "with " + ",\n".join(f"{n} as ({PARTS[n]})" for n in needed) + "\n" + text
+    kind = {n: "materialized " if n in MATERIALIZED else "" for n in needed}
+    return "with " + ",\n".join(f"{n} as {kind[n]}({PARTS[n]})" for n in needed) + "\n" + text
 
 
 def _counts(tables: dict[str, str]) -> str:
@@ -313,7 +362,7 @@ AGE = f"{NOW} - interval '{TTL_SECONDS}' second"
 _COMBINED_READING = """cast(case when i % 10 = 7 then null else i % 20 + 0.25 end as double) as wind_speed,
   cast((k * i) % 360 as int) as wind_deg, 'light rain' as description, '10d' as icon"""
 _COMBINED_POP = "cast(case i % 3 when 0 then 0 when 1 then 0.25 else 0.5 end as double) as pop"
-_READABLE = "k % 10 not in (1, 2, 5)"
+_READABLE = "k % 10 not in (1, 2, 3, 5)"
 
 
 def _metric_rows(part: str, name: str, metrics: dict[str, str]) -> str:
@@ -323,6 +372,13 @@ def _metric_rows(part: str, name: str, metrics: dict[str, str]) -> str:
     )
 
 
+TESTED = (
+    ("current_weather", "raw_current", "timestamp"),
+    ("hourly_weather", "raw_hourly", "timestamp"),
+    ("daily_weather", "raw_daily", "date"),
+)
+
+
 def _dq(name: str, part: str, column: str) -> str:
     return f"""select '{name}' as table_name, '{column}' as column_name, n as failing_rows,
       case when n > 100 then 'error' when n > 10 then 'warn' else 'pass' end as status
@@ -365,13 +421,13 @@ def sql() -> dict[str, str]:
             else date_trunc('second', ts) + interval '5' hour end as utc_time,
             case when event_id % 40 in (0, 1) then null else cast(ts as date) end as local_date
           from events""",
-        "ingest_hourly": f"""select k as doc_id,
+        "ingest_hourly": f"""select doc_id,
             timestamp '2024-01-01 05:00:00' + interval '1' hour * cast(i as int) as timestamp,
             {six(CELSIUS)} as temp, {six(CELSIUS)} as feels_like,
             case i % 5 when 0 then null when 2 then null else cast(s % 100 as int) end as humidity,
             cast(null as int) as pressure, {six(WIND)} as wind_speed, {DEGREES} as wind_deg,
             {WORDS} as description, {_icon(WORDS)} as icon, {six(POP)} as pop
-          from hour_period where i <= 48 and s % 37 not in (0, 1) and s % 17 <> 1""",
+          from hour_period where s % 37 not in (0, 1) and s % 17 <> 1""",
         "day_night_fold": f"""select doc_id, date, {six("temp_day")} as temp_day,
             {six("temp_night")} as temp_night, {six("wind_speed")} as wind_speed, wind_deg,
             description, if(used, {_icon("description")}, null) as icon, pop
@@ -385,40 +441,40 @@ def sql() -> dict[str, str]:
             {six("wind_speed")} as wind_speed, wind_deg, description,
             if(used, {_icon("description")}, null) as icon, pop
           from folded""",
-        "points_directory": """select k as doc_id, concat('https://example.org/grid/', k, '/forecast')
+        "points_directory": """select doc_id, concat('https://example.org/grid/', k, '/forecast')
             as forecast_url, concat('https://example.org/grid/', k, '/hourly') as hourly_url,
             concat('https://example.org/grid/', k, '/stations') as stations_url
           from grid where k % 20 <> 19 and k % 10 > 3""",
-        "first_station": """select k as doc_id, id as station_id from station_list
+        "first_station": """select doc_id, id as station_id from station_list
           where listed and i = 1 and id is not null""",
-        "first_usable_station": """select k as doc_id, arg_min(id, i) as station_id
-          from station_list where listed and id is not null group by k""",
-        "ingest_combined_current": f"""select k as doc_id,
+        "first_usable_station": """select doc_id, arg_min(id, i) as station_id
+          from station_list where listed and id is not null group by doc_id""",
+        "ingest_combined_current": f"""select doc_id,
             make_timestamp((cast(1704067200 as bigint) + k * 3600) * 1000000) as timestamp,
             cast(k % 60 - 20 as double) as temp, cast(k % 60 - 22 as double) as feels_like,
             cast(k % 100 as int) as humidity, cast(950 + k % 100 as int) as pressure,
             cast(0.25 as double) as wind_speed, 0 as wind_deg, 'light rain' as description,
             '10d' as icon
           from grid where k % 10 <> 0 and {_READABLE}""",
-        "ingest_combined_hourly": f"""select k as doc_id,
+        "ingest_combined_hourly": f"""select doc_id,
             make_timestamp((cast(1704067200 as bigint) + k * 3600 + i * 1800) * 1000000) as timestamp,
             cast((k + i) % 60 - 20 as double) as temp, cast(k % 60 - 22 as double) as feels_like,
             cast((k + i) % 100 as int) as humidity, cast(950 + (k + i) % 100 as int) as pressure,
             {_COMBINED_READING}, {_COMBINED_POP}
-          from grid, range(1, 49) as h(i) where k % 10 <> 6 and {_READABLE}""",
-        "ingest_combined_daily": f"""select k as doc_id,
+          from grid, range(1, 53) as h(i) where k % 10 <> 6 and {_READABLE}""",
+        "ingest_combined_daily": f"""select doc_id,
             cast(make_timestamp((cast(1704067200 as bigint) + k * 3600 + i * 1800) * 1000000) as date) as date,
             cast((k + i) % 30 - 10 as double) as temp_min, cast((k + i) % 30 as double) as temp_max,
             cast((k + i) % 30 - 2 as double) as temp_day, cast(null as double) as temp_night,
             cast((k + i) % 100 as int) as humidity, cast(950 + (k + i) % 100 as int) as pressure,
             {_COMBINED_READING}, {_COMBINED_POP}
-          from grid, range(1, 8) as d(i) where k % 10 <> 4 and {_READABLE}""",
-        "validate_combined": """select k as doc_id, reason, reason is null as is_valid
-          from (select k, case k % 10 when 0 then 'current_missing' when 4 then 'daily_missing'
+          from grid, range(1, 10) as d(i) where k % 10 <> 4 and {_READABLE}""",
+        "validate_combined": """select doc_id, reason, reason is null as is_valid
+          from (select doc_id, case k % 10 when 0 then 'current_missing' when 4 then 'daily_missing'
             when 6 then 'hourly_missing' when 1 then 'current.temp_missing' end as reason
             from grid)""",
         "validate_documents": " union all ".join(
-            f"""select k as doc_id, '{kind}' as kind, {_broken_reason(kind)} as reason,
+            f"""select doc_id, '{kind}' as kind, {_broken_reason(kind)} as reason,
               {_broken_reason(kind)} is null as is_valid from grid"""
             for kind in ("points", "current", "hourly", "daily")
         ),
@@ -454,7 +510,7 @@ def sql() -> dict[str, str]:
         "day_night_gap": "select location_id, date, day_night_temp_difference from days",
         "weather_summary": "select * from summary",
         "weather_trends": "select * from trends",
-        "weather_trends_by_joins": "select * from trends",
+        "weather_trends_by_joins": "select * from trends_joined",
         "weather_alerts": """select * from trends where extreme_weather_indicator <> 'normal'""",
         # windows
         "moving_avg_7": f"""select location_id, date, {rnd("t7", 4)} as temp_7day_moving_avg,
@@ -529,6 +585,9 @@ def sql() -> dict[str, str]:
              or (lat between 51.2 and 71.4 and lon between -179.1 and -129.9)
              or (lat between 18.9 and 28.4 and lon between -178.3 and -154.8)
              or (lat between 17.8 and 18.6 and lon between -67.3 and -65.2)""",
+        "coordinate_sanity": """select station_id, lat, lon,
+            coalesce(lat between -90 and 90 and lon between -180 and 180, false) as is_valid
+          from station_report""",
         "coverage_region": """select station_id, lat, lon, region from station
           join (values ('continental', 24.5, 49.4, -125.0, -66.9),
                        ('alaska', 51.2, 71.4, -179.1, -129.9),
@@ -594,28 +653,28 @@ def sql() -> dict[str, str]:
               count(temp) / count(*) > 0.8 as temp_complete,
               coalesce(avg(temp), 0) between -40 and 45 as temp_reasonable,
               coalesce(avg(humidity), 0) between 0 and 100 as humidity_valid,
-              coalesce(avg(pressure), 0) between 900 and 1100 as pressure_valid from clean_current),
+              coalesce(avg(pressure), 0) between 900 and 1100 as pressure_valid from raw_current),
             h as (select count(*) as hourly_rows, count(*) >= 12 as hourly_enough,
-              coalesce(avg(pop), 0) between 0 and 1 as pop_valid from clean_hourly),
+              coalesce(avg(pop), 0) between 0 and 1 as pop_valid from raw_hourly),
             d as (select count(*) as daily_rows, count(*) >= 3 as daily_enough,
               count(*) filter (temp_max >= temp_min) = count(*) as temp_order_valid
-              from clean_daily where temp_max is not null and temp_min is not null)
+              from raw_daily where temp_max is not null and temp_min is not null)
           select *, temp_complete and temp_reasonable and humidity_valid and hourly_enough
             and pop_valid and daily_enough and temp_order_valid as quality_passed
           from c, h, d""",
-        "dq_not_null": f"select {CURRENT} from raw_current where timestamp is null",
+        "dq_not_null": " union all ".join(
+            f"""select '{name}' as table_name, '{column}' as column_name, location_id, wind_deg,
+              description from {part} where {column} is null"""
+            for name, part, column in TESTED
+        ),
         "dq_severity": " union all ".join(
-            [
-                _dq("current_weather", "raw_current", "timestamp"),
-                _dq("hourly_weather", "raw_hourly", "timestamp"),
-                _dq("daily_weather", "raw_daily", "date"),
-            ]
+            _dq(name, part, column) for name, part, column in TESTED
+        ),
+        "dq_failures": " union all by name ".join(
+            f"""select *, '{name}' as table_name, '{column}' as column_name
+              from {part} where {column} is null"""
+            for name, part, column in TESTED
         ),
-        "dq_failures": f"""select {CURRENT}, cast(null as double) as pop,
-            'current_weather' as table_name, 'timestamp' as column_name
-          from raw_current where timestamp is null
-          union all select {HOURLY}, 'hourly_weather', 'timestamp'
-          from raw_hourly where timestamp is null""",
     }
     return {name: _with(text) for name, text in q.items()}
 
@@ -623,4 +682,4 @@ def sql() -> dict[str, str]:
 def _with(text: str) -> str:
     """Add the needed parts, also in front of a query that brings its own WITH."""
     body = query(text)
-    return re.sub(r"\)\n\s*with (?=\w+ as \()", "),\n", body, count=1)
+    return re.sub(r"\)\n\s*with (?=\w+ as (?:materialized )?\()", "),\n", body, count=1)

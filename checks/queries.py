@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,13 +128,7 @@ def ingest_combined_daily(spark, sf_dir):
 @register
 def validate_documents(spark, sf_dir):
     docs = V.broken_documents(spark, sf_dir)
-    parts = [
-        documents.validate_documents(docs, kind).select(
-            "doc_id", F.lit(kind).alias("kind"), "reason", "is_valid"
-        )
-        for kind in documents.DOCUMENT_KINDS
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return documents.validate_as_kinds(docs).select("doc_id", "kind", "reason", "is_valid")
 
 
 @register
@@ -451,6 +444,13 @@ def coverage_filter(spark, sf_dir):
     return coverage.coverage_filter(V.view(spark, sf_dir, "station"))
 
 
+@register
+def coordinate_sanity(spark, sf_dir):
+    stations = V.view(spark, sf_dir, "station_report")
+    valid = coverage.is_coordinate(F.col("lat"), F.col("lon"))
+    return stations.select("station_id", "lat", "lon", F.coalesce(valid, F.lit(False)).alias("is_valid"))
+
+
 @register
 def coverage_region(spark, sf_dir):
     return coverage.coverage_region(V.view(spark, sf_dir, "station"))
@@ -501,14 +501,13 @@ def quality_daily(spark, sf_dir):
 
 @register
 def quality_verdict(spark, sf_dir):
-    return quality.quality_verdict(
-        clean_current(spark, sf_dir), clean_hourly(spark, sf_dir), clean_daily(spark, sf_dir)
-    )
+    return quality.quality_verdict(*V.raw_views(spark, sf_dir))
 
 
 @register
 def dq_not_null(spark, sf_dir):
-    return quality.not_null_failures(V.view(spark, sf_dir, "raw_current"), "timestamp")
+    failing = quality.failing_rows(tables(spark, sf_dir))
+    return failing.select("table_name", "column_name", "location_id", "wind_deg", "description")
 
 
 @register
@@ -518,6 +517,4 @@ def dq_severity(spark, sf_dir):
 
 @register
 def dq_failures(spark, sf_dir):
-    tested = tables(spark, sf_dir)
-    del tested["daily_weather"]
-    return quality.failing_rows(tested)
+    return quality.failing_rows(tables(spark, sf_dir))

@@ -42,21 +42,20 @@ def _readings(base: int, days: str, by: int) -> str:
   cast(l_orderkey % 400 as int) as wind_deg"""
 
 
-# The two line views share out the whole table: returned lines are observations, all others are
-# hourly forecasts.
+# Both line views hold every line, once as an observation and once as an hourly forecast.
 FLAT_VIEWS = {
     "raw_current": f"""
 select {_readings(14, "1, 2, 3", 3)},
   case when l_linestatus = 'O' then 'Mostly Sunny' when l_linenumber % 3 = 0 then 'Light Rain'
        when l_linenumber % 3 = 1 then 'Partly Cloudy' else 'Snow Showers' end as description,
   '01d' as icon
-from {{lineitem}} where l_returnflag = 'R'""",
+from {{lineitem}}""",
     "raw_hourly": f"""
 select {_readings(13, "2, 3, 4, 5", 4)},
   case when l_linenumber % 2 = 0 then 'Clear' else 'Cloudy' end as description,
   '01d' as icon,
   cast(l_orderkey % 72 as double) / 64 as pop
-from {{lineitem}} where l_returnflag <> 'R'""",
+from {{lineitem}}""",
     "raw_daily": f"""
 select location_id, date,
   cast(min(o_custkey % 60) * 0.5 - 20 as double) as temp_min,
@@ -67,11 +66,13 @@ select location_id, date,
   cast(780 + min(o_orderkey % 440) as int) as pressure,
   cast(min(o_orderkey % 120) * 0.25 - 1 as double) as wind_speed,
   cast(max(o_orderkey % 400) as int) as wind_deg,
-  min(o_orderpriority) as description,
+  case min(cast(substr(o_orderpriority, 1, 1) as int)) when 1 then '1-URGENT' when 2 then '2-HIGH'
+    when 3 then '3-MEDIUM' when 4 then '4-NOT SPECIFIED' else '5-LOW' end as description,
   '01d' as icon,
   cast(min(o_orderkey % 72) as double) / 64 as pop
 from (select *, {ORDER_LOCATION} as location_id,
-        cast({_moved("o_orderdate", "2, 13", 1)} as date) as date
+        case when o_orderkey % 53 = 0 then null
+             else cast({_moved("o_orderdate", "2, 13", 1)} as date) end as date
       from {{orders}}) o
 group by location_id, date""",
     "quantity": """
@@ -87,6 +88,13 @@ from {events}""",
 select s_suppkey as station_id,
   cast(15 + cast((s_suppkey * 37) % 480 as double) / 8 as double) as lat,
   cast(-180 + cast((s_suppkey * 53) % 960 as double) / 8 as double) as lon
+from {supplier}""",
+    "station_report": """
+select s_suppkey as station_id,
+  case when s_suppkey % 11 = 0 then null
+       else cast(cast((s_suppkey * 37) % 1520 as double) / 8 - 95 as double) end as lat,
+  case when s_suppkey % 13 = 0 then null
+       else cast(cast((s_suppkey * 53) % 2960 as double) / 8 - 185 as double) end as lon
 from {supplier}""",
     "period": """
 select l_orderkey, l_partkey, l_suppkey, l_linenumber, cast(l_quantity as int) as temperature,
@@ -183,7 +191,10 @@ OBSERVATION = _object(
     }
 )
 
-# Hourly periods of customer k, number i of n.
+# Content of a customer's documents follows from its key, nation and balance.
+SEED = "cast(c_custkey + 7 * c_nationkey + abs(floor(c_acctbal)) as int)"
+
+# Hourly periods of the customer with seed k, number i of n.
 HOURLY_COUNT = "40 + k % 20"
 COMPASS = [
     "N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE",
@@ -250,8 +261,8 @@ def _list(count: str, item: str) -> str:
     return f"concat('[', array_join(transform(sequence(1, {count}), i -> {item}), ','), ']')"
 
 
-# Customer k, by k % 10: 0 has no current section, 1 an incomplete one, 2 lacks a temperature in
-# hour 3, 3 lacks one in hour 50 (past the cut), 4 has no daily section, 5 lacks the temperatures
+# Seed k, by k % 10: 0 has no current section, 1 an incomplete one, 2 lacks a temperature in
+# hour 3, 3 lacks one in hour 50, 4 has no daily section, 5 lacks the temperatures
 # of day 2, 6 has no hourly section.
 _HOUR_TEMP = """case when (k % 10 = 2 and i = 3) or (k % 10 = 3 and i = 50) then null
   else cast((k + i) % 60 - 20 as string) end"""
@@ -266,7 +277,7 @@ COMBINED = _object(
     }
 )
 
-# Grid points and station lists of customer k.
+# Grid points and station lists of the customer with seed k.
 POINTS = _object(
     {
         "properties": "case when k % 20 = 19 then null else "
@@ -320,9 +331,9 @@ def _spread(keys: DataFrame, column: str) -> DataFrame:
 
 
 def _per_customer(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("k"))
-    keys = _spread(customers, "k")
-    return keys.select(F.col("k").alias("doc_id"), F.expr(body).alias("body"))
+    key = F.col("c_custkey").cast("int").alias("doc_id")
+    keys = _spread(table(spark, sf_dir, "customer").select(key, F.expr(SEED).alias("k")), "doc_id")
+    return keys.select("doc_id", F.expr(body).alias("body"))
 
 
 def hourly_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

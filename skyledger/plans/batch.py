@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger import DEFAULT_BY
 from skyledger.operators.latest import latest_per_key
+from skyledger.operators.quality import failing_rows, not_null_report, quality_verdict
 from skyledger.plans.daily import int_weather_summary
 from skyledger.plans.marts import weather_summary, weather_trends
-from skyledger.schemas import RAW_DAILY
+from skyledger.schemas import RAW_TABLES, TIME_KEY
 from skyledger.sources.documents import split_valid
 from skyledger.sources.forecast import daily_rows, hourly_rows
 from skyledger.sources.observation import observation_rows
-from skyledger.sources.tables import append_raw, read_raw, rebuild_table
+from skyledger.sources.tables import append_raw, read_raw, rebuild_table, replace_days, write_batch
 
 FLATTENERS = {
     "current": ("current_weather", observation_rows),
@@ -28,44 +30,73 @@ FLATTENERS = {
 ARRIVAL = "ingested_at"
 
 
-def ingest(docs: DataFrame, kind: str, root: str, by: Sequence[str] = DEFAULT_BY) -> None:
+def ingest(
+    docs: DataFrame, kind: str, root: str, by: Sequence[str] = DEFAULT_BY, batch: str | None = None
+) -> None:
     """Append one kind of documents to its raw table; misshapen ones go to a quarantine table.
 
-    The flatteners skip misshapen documents by themselves, so good ones are parsed once only.
+    The documents are listed and read once for both. The flatteners skip misshapen documents by
+    themselves. A named ``batch`` can be run again and gives the same tables.
     """
     table, flatten = FLATTENERS[kind]
-    append_raw(flatten(docs, (*by, ARRIVAL)), root, table, by, extra=(ARRIVAL,))
+    docs = docs.persist()
+    append_raw(flatten(docs, (*by, ARRIVAL)), root, table, by, extra=(ARRIVAL,), batch=batch)
     _, bad = split_valid(docs, kind)
-    bad.write.mode("append").parquet(f"{root}/quarantine/{kind}")
+    write_batch(bad, f"{root}/quarantine/{kind}", batch)
+    docs.unpersist()
+
+
+def newest(spark: SparkSession, root: str, table: str, by: Sequence[str], **days) -> DataFrame:
+    """Rows of a raw table, the last arrival only for each station and time.
+
+    All feeds are polled again and again; repeats would inflate counts and means, and repeated
+    dates would fan out through the joins.
+    """
+    time = TIME_KEY[table]
+    tie_break = [c for c in RAW_TABLES[table].names if c != time]
+    return latest_per_key(read_raw(spark, root, table, **days), [*by, time], ARRIVAL, tie_break)
 
 
 def build_marts(
-    spark: SparkSession, root: str, run_ts: datetime, by: Sequence[str] = DEFAULT_BY
+    spark: SparkSession,
+    root: str,
+    run_ts: datetime,
+    by: Sequence[str] = DEFAULT_BY,
+    since: date | None = None,
+    until: date | None = None,
 ) -> dict[str, DataFrame]:
-    """Rebuild the reconciled days and both marts from the raw tables.
+    """Build the reconciled days from the raw tables, and both marts from the stored days.
+
+    With ``since`` or ``until`` only those days are read and replaced; the marts, which are day
+    grain, are then made from all stored days. The days are written once and read back: a lost
+    executor costs no recomputation of the rollups.
+    """
+    feeds = [newest(spark, root, t, by, since=since, until=until) for t in RAW_TABLES]
+    days = int_weather_summary(*feeds, by).withColumn("event_date", F.col("date"))
+    place = f"{root}/int_weather_summary"
+    if since is None and until is None:
+        rebuild_table(days.hint("rebalance", "event_date"), place, ["event_date"])
+    else:
+        replace_days(days, place)
+    stored = spark.read.parquet(place).drop("event_date")
+    rebuild_table(weather_summary(stored, by, run_ts), f"{root}/weather_summary")
+    rebuild_table(weather_trends(stored, by, run_ts), f"{root}/weather_trends")
+    marts = {n: spark.read.parquet(f"{root}/{n}") for n in ("weather_summary", "weather_trends")}
+    return {"int_weather_summary": stored} | marts
+
+
+def check_quality(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Run the not-null tests and the verdict over the raw tables and store their results.
 
-    The daily feed is polled again and again; only the newest forecast per station and date is
-    used, since repeated dates would fan out through the joins. The reconciled days are written
-    once and read back: both marts start from the stored table, and a lost executor costs no
-    recomputation of the rollups.
+    ``quality/report`` has the severity of each test, ``quality/failures`` every failing row,
+    ``quality/verdict`` the checks of the whole.
     """
-    daily = read_raw(spark, root, "daily_weather")
-    daily = latest_per_key(
-        daily, [*by, "date"], ARRIVAL, tie_break=[c for c in RAW_DAILY.names if c != "date"]
-    )
-    rebuild_table(
-        int_weather_summary(
-            read_raw(spark, root, "current_weather"),
-            read_raw(spark, root, "hourly_weather"),
-            daily,
-            by,
-        ),
-        f"{root}/int_weather_summary",
-    )
-    days = spark.read.parquet(f"{root}/int_weather_summary")
-    rebuild_table(weather_summary(days, by, run_ts), f"{root}/weather_summary")
-    rebuild_table(weather_trends(days, by, run_ts), f"{root}/weather_trends")
-    return {
-        name: spark.read.parquet(f"{root}/{name}")
-        for name in ("int_weather_summary", "weather_summary", "weather_trends")
+    tables = {t: (read_raw(spark, root, t), TIME_KEY[t]) for t in RAW_TABLES}
+    results = {
+        "report": not_null_report(tables),
+        "failures": failing_rows(tables),
+        "verdict": quality_verdict(*(df for df, _ in tables.values())),
     }
+    for name, df in results.items():
+        rebuild_table(df, f"{root}/quality/{name}")
+    return {name: spark.read.parquet(f"{root}/quality/{name}") for name in results}

@@ -15,9 +15,6 @@ from skyledger import DEFAULT_BY
 from skyledger.functions.clock import epoch_to_utc
 from skyledger.sources.documents import is_object, is_present, parsed
 
-HOURS_KEPT = 48
-DAYS_KEPT = 7
-
 # Required keys.
 SECTIONS = ("current", "hourly", "daily")
 READING_KEYS = ("dt", "temp", "feels_like", "humidity", "pressure", "wind_speed", "wind_deg")
@@ -40,14 +37,14 @@ COMBINED = f"current {_READING}, hourly ARRAY<{_READING}>, daily ARRAY<{_DAY}>"
 
 
 def _typed(docs: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Sections of each document, cut to the entries that are kept, and the first fault."""
+    """Sections of each document and its first fault."""
     d = F.from_json("body", COMBINED)
     sections = docs.select(*by, "body", d.alias("d")).select(
         *by,
         "body",
         F.col("d.current").alias("current"),
-        F.slice("d.hourly", 1, HOURS_KEPT).alias("hourly"),
-        F.slice("d.daily", 1, DAYS_KEPT).alias("daily"),
+        F.col("d.hourly").alias("hourly"),
+        F.col("d.daily").alias("daily"),
     )
     return sections.withColumn("fault", _fault())
 
@@ -142,8 +139,12 @@ def _pop(e: Column) -> Column:
     return F.when(given.isNull(), 0.0).otherwise(_number(given, "double")).alias("pop")
 
 
+def _first(entries: Column, n: int | None) -> Column:
+    return entries if n is None else F.slice(entries, 1, n)
+
+
 def _entries(docs: DataFrame, by: Sequence[str], entries: Column) -> DataFrame:
-    """One row ``e`` per kept entry of the readable documents."""
+    """One row ``e`` per entry of the readable documents; a fault in any entry counts."""
     return _typed(docs, by).select(
         *by, F.explode(F.when(F.col("fault").isNull(), entries)).alias("e")
     )
@@ -155,16 +156,20 @@ def combined_current(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFra
     return _entries(docs, by, one).select(*by, *_reading(F.col("e")))
 
 
-def combined_hourly(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
-    """Hourly rows: the first 48 entries per document."""
+def combined_hourly(
+    docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_entries: int | None = None
+) -> DataFrame:
+    """Hourly rows: all entries of each document, or its first ``max_entries``."""
     e = F.col("e")
-    return _entries(docs, by, F.col("hourly")).select(*by, *_reading(e), _pop(e))
+    return _entries(docs, by, _first(F.col("hourly"), max_entries)).select(*by, *_reading(e), _pop(e))
 
 
-def combined_daily(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
-    """Daily rows: the first seven entries per document."""
+def combined_daily(
+    docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_entries: int | None = None
+) -> DataFrame:
+    """Daily rows: all entries of each document, or its first ``max_entries``."""
     e = F.col("e")
-    return _entries(docs, by, F.col("daily")).select(
+    return _entries(docs, by, _first(F.col("daily"), max_entries)).select(
         *by,
         epoch_to_utc(_number(e["dt"], "bigint")).cast("date").alias("date"),
         *[_number(e["temp"][k], "double").alias(f"temp_{k}") for k in DAY_TEMPS],

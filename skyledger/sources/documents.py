@@ -116,6 +116,15 @@ def validate_documents(docs: DataFrame, kind: str, body: str = "body") -> DataFr
     return checked.withColumn("is_valid", F.col("reason").isNull()).drop("_doc")
 
 
+def validate_as_kinds(docs: DataFrame, kinds: tuple[str, ...] = DOCUMENT_KINDS, body: str = "body") -> DataFrame:
+    """One row per document and kind with ``kind``, ``reason``, ``is_valid``; a body is parsed once."""
+    checks = [F.struct(F.lit(k).alias("kind"), _shape_fault(F.col("_doc"), k).alias("reason")) for k in kinds]
+    keys = [c for c in docs.columns if c != body]
+    # The faults are worked out before the explode, beside the parsed document.
+    faults = parsed(docs, body, "_doc").select(*keys, F.array(*checks).alias("_faults"))
+    return faults.select(*keys, F.inline("_faults")).withColumn("is_valid", F.col("reason").isNull())
+
+
 def split_valid(docs: DataFrame, kind: str, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """Good documents, and the rest with their ``reason`` for a quarantine table."""
     checked = validate_documents(docs, kind, body)

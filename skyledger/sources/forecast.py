@@ -18,8 +18,6 @@ from skyledger.functions.numbers import whole
 from skyledger.functions.units import forecast_celsius, percent_to_fraction, wind_text_mps
 from skyledger.sources.documents import text, text_only, text_or_unknown
 
-HOURS_KEPT = 48
-DAYS_KEPT = 7
 # Estimated spread between day and night when only one of the two is forecast (degrees).
 HALF_DAY_SPREAD = 5.0
 
@@ -77,13 +75,21 @@ def _pop(p: Column) -> Column:
     return percent_to_fraction(_quantity_or_number(p["probabilityOfPrecipitation"]))
 
 
-def hourly_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
-    """Flatten hourly-forecast documents: the first 48 periods, one row each.
+def _first(items: str | Column, n: int | None) -> Column:
+    """The first n items of a list, or all of them."""
+    items = F.col(items) if isinstance(items, str) else items
+    return items if n is None else F.slice(items, 1, n)
+
+
+def hourly_rows(
+    docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_periods: int | None = None
+) -> DataFrame:
+    """Flatten hourly-forecast documents: one row per period, or for the first ``max_periods`` only.
 
     Periods without a readable start time, or with a temperature that is no number, are dropped.
     """
     listed = periods_of(docs, HOURLY_PERIOD, by)
-    kept = F.slice("periods", 1, HOURS_KEPT)
+    kept = _first("periods", max_periods)
     p = F.col("p")
     # Plain columns first: the derived ones below then reuse them instead of evaluating them anew.
     plain = listed.select(*by, F.explode(kept).alias("p")).filter(
@@ -166,8 +172,10 @@ def _as_struct(ddl: str) -> str:
     return ", ".join(":".join(field.split()) for field in ddl.split(", "))
 
 
-def day_night_fold(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
-    """One row per document and date (first seven dates): the folded day/night periods."""
+def day_night_fold(
+    docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_dates: int | None = None
+) -> DataFrame:
+    """One row per document and date (or its first ``max_dates``): the folded day/night periods."""
     periods = F.filter(F.transform("periods", _typed_period), lambda p: p["date"].isNotNull())
     zero = F.struct(
         *[F.lit(None)] * 5, F.lit(False), F.lit(0.0)
@@ -176,7 +184,7 @@ def day_night_fold(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame
     days = (
         periods_of(docs, DAILY_PERIOD, by)
         .select(*by, periods.alias("periods"))
-        .select(*by, "periods", F.explode(F.slice(dates, 1, DAYS_KEPT)).alias("date"))
+        .select(*by, "periods", F.explode(_first(dates, max_dates)).alias("date"))
     )
     folded = F.aggregate(
         F.filter("periods", lambda p: p["date"] == F.col("date")), zero, _fold_step
@@ -194,7 +202,9 @@ def day_night_fold(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame
     )
 
 
-def daily_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
+def daily_rows(
+    docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_dates: int | None = None
+) -> DataFrame:
     """Flatten day/night forecast documents into daily-weather rows.
 
     The day is the maximum and the night the minimum; a missing half is estimated from the other.
@@ -203,7 +213,7 @@ def daily_rows(docs: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     spread = F.lit(HALF_DAY_SPREAD)
     low = F.coalesce(F.col("temp_night"), F.col("temp_day") - spread)
     high = F.coalesce(F.col("temp_day"), F.col("temp_night") + spread)
-    return day_night_fold(docs, by).select(
+    return day_night_fold(docs, by, max_dates).select(
         *by,
         "date",
         low.alias("temp_min"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import DEFAULT_BY
 from skyledger.schemas import RAW_TABLES, TIME_KEY, conform
@@ -23,12 +26,20 @@ def read_raw(
 
     The bounds select partition folders; rows without a time are in none of them.
     """
-    df = spark.read.parquet(f"{root}/{table}")
+    try:
+        df = spark.read.parquet(f"{root}/{table}")
+    except AnalysisException as fault:  # nothing has been appended yet
+        if fault.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        keys = [T.StructField(c, T.StringType()) for c in DEFAULT_BY]
+        arrival = T.StructField("ingested_at", T.TimestampNTZType())
+        fields = [*keys, arrival, *RAW_TABLES[table].fields, T.StructField("event_date", T.DateType())]
+        df = spark.createDataFrame([], T.StructType(fields))
     if since is not None:
         df = df.filter(F.col("event_date") >= F.lit(since))
     if until is not None:
         df = df.filter(F.col("event_date") < F.lit(until))
-    return df.drop("event_date")
+    return df.drop("event_date", "batch")
 
 
 def with_event_date(df: DataFrame, table: str) -> DataFrame:
@@ -41,6 +52,7 @@ def append_raw(
     table: str,
     by: Sequence[str] = DEFAULT_BY,
     extra: Sequence[str] = (),
+    batch: str | None = None,
 ) -> None:
     """Append rows to a raw table, laid out for time and station filters.
 
@@ -48,14 +60,23 @@ def append_raw(
     files; the adaptive optimizer splits a hot day and merges small ones by their real sizes, and,
     unlike range partitioning, it needs no sampling pass that would parse the documents twice. The
     sort gives row groups narrow minima and maxima. An empty frame appends nothing.
+
+    Rows of a named ``batch`` replace what a broken earlier run of the same batch has left.
     """
     rows = with_event_date(conform(df, RAW_TABLES[table], (*by, *extra)), table)
+    rows = rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", *by, *_sort_time(table))
+    write_batch(rows, f"{root}/{table}", batch, "event_date")
+
+
+def write_batch(rows: DataFrame, path: str, batch: str | None, *parts: str) -> None:
+    """Write the partitions of one batch; partitions of other batches stay."""
+    name = F.lit(batch or uuid.uuid4().hex).alias("batch")
     (
-        rows.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", *by, *_sort_time(table))
-        .write.mode("append")
-        .partitionBy("event_date")
-        .parquet(f"{root}/{table}")
+        rows.select("*", name)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch", *parts)
+        .parquet(path)
     )
 
 
@@ -64,9 +85,28 @@ def _sort_time(table: str) -> list[str]:
     return [TIME_KEY[table]] if TIME_KEY[table] == "timestamp" else []
 
 
-def rebuild_table(df: DataFrame, path: str) -> None:
-    """Replace a derived table. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+def rebuild_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    """Replace a derived table once the new one is complete; a failed run leaves the old one.
+
+    ``df`` may read from ``path``."""
+    spark = df.sparkSession
+    fresh, old = (f"{path}.{word}-{uuid.uuid4().hex}" for word in ("new", "old"))
+    df.write.partitionBy(*parts).parquet(fresh)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = files.exists(folder) and files.rename(folder, hadoop(old))
+    if not files.rename(hadoop(fresh), folder):
+        raise OSError(f"could not put {fresh} in place of {path}")
+    if replaced:
+        files.delete(hadoop(old), True)
+
+
+def replace_days(df: DataFrame, path: str) -> None:
+    """Replace only the days (``event_date``) that ``df`` holds."""
+    rows = df.hint("rebalance", "event_date").sortWithinPartitions("event_date")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date").parquet(path)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -9,31 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger import DEFAULT_BY
-from skyledger.plans.batch import ARRIVAL, FLATTENERS
-from skyledger.schemas import RAW_TABLES, TIME_KEY, conform
+from skyledger.plans.batch import ingest
 from skyledger.session import checkpoint_root
-from skyledger.sources.documents import split_valid
-from skyledger.sources.tables import with_event_date
 
 EVENT_TIME = "event_time"
 
 
-def _trigger(interval: str | None) -> dict:
+def trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
-def _append(rows: DataFrame, path: str, checkpoint: str, interval: str | None, **options):
-    writer = rows.writeStream.format("parquet").outputMode("append").options(**options)
-    if "event_date" in rows.columns:
-        writer = writer.partitionBy("event_date")
-    return (
-        writer.option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(interval))
-        .start()
-    )
-
-
 def ingest_stream(
     docs: DataFrame,
     kind: str,
@@ -42,45 +27,34 @@ def ingest_stream(
     by: Sequence[str] = DEFAULT_BY,
     interval: str | None = None,
     checkpoint: str | None = None,
-    files_per_day: int = 8,
 ) -> StreamingQuery:
     """Flatten newly landed documents of one kind into its raw table, each file exactly once.
 
-    Flattening is narrow, so the query keeps no state but the list of files seen. Before the sink
-    the rows of a day are gathered into at most ``files_per_day`` parts, or every task would write a
-    file for every day its forecasts reach; station and time are hashed together, so a hot station
-    is spread as well. ``interval`` ("10 minutes") polls; without it all waiting files are taken and the query ends. The file sink
-    keeps a commit log in the table folder: one streaming query writes it, nothing else does.
-    ``job`` is the lasting name of the query: its progress is kept under it in the cluster's shared
-    checkpoint folder, or in ``checkpoint`` where the cluster names none.
+    Each micro-batch goes through the batch ingest, which reads its documents once for rows and
+    quarantine and sizes its files by the volume. A batch that is run again after a failure replaces
+    its own partitions. ``interval`` ("10 minutes") polls; without it all waiting files are taken
+    and the query ends. ``job`` is the lasting name of the query: its progress is kept under it in
+    the cluster's shared checkpoint folder, or in ``checkpoint`` where the cluster names none.
     """
-    table, flatten = FLATTENERS[kind]
-    rows = conform(flatten(docs, (*by, ARRIVAL)), RAW_TABLES[table], (*by, ARRIVAL))
     place = f"{checkpoint_root(docs.sparkSession, checkpoint)}/{job}/ingest_{kind}"
-    part = F.pmod(F.xxhash64(*by, TIME_KEY[table], ARRIVAL), F.lit(files_per_day))
-    gathered = with_event_date(rows, table).repartition("event_date", part)
-    return _append(gathered, f"{root}/{table}", place, interval)
 
+    def take(batch: DataFrame, number: int) -> None:
+        ingest(batch, kind, root, by, f"{job}-{number:010d}")
 
-def quarantine_stream(
-    docs: DataFrame,
-    kind: str,
-    root: str,
-    job: str,
-    interval: str | None = None,
-    checkpoint: str | None = None,
-) -> StreamingQuery:
-    """Collect newly landed documents of the wrong shape, with the reason; see ingest_stream."""
-    _, bad = split_valid(docs, kind)
-    place = f"{checkpoint_root(docs.sparkSession, checkpoint)}/{job}/quarantine_{kind}"
-    return _append(bad, f"{root}/quarantine/{kind}", place, interval)
+    return (
+        docs.writeStream.foreachBatch(take)
+        .option("checkpointLocation", place)
+        .trigger(**trigger(interval))
+        .start()
+    )
 
 
 def with_event_time(rows: DataFrame, delay: str, time: str = "timestamp") -> DataFrame:
     """Add the event time (an instant, as watermarks need one) and its watermark."""
-    return rows.withColumn(EVENT_TIME, F.col(time).cast("timestamp")).withWatermark(
-        EVENT_TIME, delay
-    )
+    if EVENT_TIME in rows.columns:  # a step before has set it; a watermark can't be set twice
+        return rows
+    timed = rows.withColumn(EVENT_TIME, F.col(time).cast("timestamp"))
+    return timed.withWatermark(EVENT_TIME, delay)
 
 
 def drop_repeated_polls(

@@ -40,21 +40,21 @@ def near(x):
 def test_plain_observation(documents):
     docs = documents(
         obs(
-            timestamp="2024-01-15T10:00:00+00:00",
-            temperature=q(5.0, "degC"),
-            relativeHumidity=q(45.8),
-            windSpeed=q(3.5, "m_s-1"),
-            windDirection=q(180),
-            barometricPressure=q(101325, "Pa"),
-            textDescription="Partly Cloudy",
-            heatIndex=q(6.0, "degC"),
+            timestamp="2023-07-09T23:45:30-02:30",
+            temperature=q(-11.25, "degC"),
+            relativeHumidity=q(87.2),
+            windSpeed=q(45.0, "km_h-1"),
+            windDirection=q(233),
+            barometricPressure=q(98760, "Pa"),
+            textDescription="Blowing Snow",
+            windChill=q(-20.5, "degC"),
         )
     )
     assert rows(observation_rows(docs, DOC)) == [
         {
-            "doc_id": 0, "timestamp": datetime(2024, 1, 15, 10), "temp": 5.0, "feels_like": 6.0,
-            "humidity": 45, "pressure": 1013, "wind_speed": 3.5, "wind_deg": 180,
-            "description": "Partly Cloudy", "icon": "02d",
+            "doc_id": 0, "timestamp": datetime(2023, 7, 10, 2, 15, 30), "temp": -11.25,
+            "feels_like": -20.5, "humidity": 87, "pressure": 987, "wind_speed": near(12.5),
+            "wind_deg": 233, "description": "Blowing Snow", "icon": "13d",
         }
     ]
 
@@ -84,13 +84,13 @@ def test_observation_defaults_and_rejects(documents):
 
 
 def test_hourly_periods(documents):
-    start = "2024-01-15T10:00:00-05:00"
+    start = "2023-11-30T21:00:00+01:00"
     docs = documents(
         periods(
             {
-                "startTime": start, "temperature": 41, "temperatureUnit": "F",
-                "windSpeed": "10 mph", "windDirection": "NW", "shortForecast": "Partly Cloudy",
-                "probabilityOfPrecipitation": {"value": 20}, "relativeHumidity": {"value": 50.9},
+                "startTime": start, "temperature": 77, "temperatureUnit": "F",
+                "windSpeed": "25 to 30 mph", "windDirection": "ESE", "shortForecast": "Heavy Thunderstorms",
+                "probabilityOfPrecipitation": {"value": 85}, "relativeHumidity": {"value": 92.4},
             },
             {"startTime": start},
             {
@@ -102,8 +102,8 @@ def test_hourly_periods(documents):
                 "windDirection": "XX", "probabilityOfPrecipitation": 30, "relativeHumidity": 61,
             },
             {"startTime": start, "temperature": "warm"},
-            {"temperature": 41},
-            {"startTime": "soon", "temperature": 41},
+            {"temperature": 77},
+            {"startTime": "soon", "temperature": 77},
             "not a period",
             {
                 "startTime": start, "temperature": "50", "windDirection": "",
@@ -119,21 +119,22 @@ def test_hourly_periods(documents):
         (r["temp"], r["humidity"], r["wind_speed"], r["wind_deg"], r["description"], r["icon"], r["pop"])
         for r in got
     ]
-    assert (near(5.0), 50, near(4.4704), 315, "Partly Cloudy", "02d", near(0.2)) in by_pop
+    assert (near(25.0), 92, near(11.176), 112, "Heavy Thunderstorms", "11d", near(0.85)) in by_pop
     assert (None, None, 0.0, 0, "Unknown", "01d", 0.0) in by_pop
     assert (None, None, None, None, None, "01d", 0.0) in by_pop
     assert (7.0, 61, None, 0, "Unknown", "01d", near(0.3)) in by_pop
     assert (near(10.0), None, 0.0, None, "Unknown", "01d", 0.0) in by_pop
-    assert {r["timestamp"] for r in got} == {datetime(2024, 1, 15, 15)}
+    assert {r["timestamp"] for r in got} == {datetime(2023, 11, 30, 20)}
     assert all(r["feels_like"] == r["temp"] and r["pressure"] is None for r in got)
 
 
-def test_hourly_keeps_the_first_48_positions(documents):
-    item = lambda i: {"startTime": f"2024-01-{1 + i // 24:02d}T{i % 24:02d}:00:00Z"}
-    bad_first = [{"temperature": 1}, *[item(i) for i in range(60)]]
-    got = rows(hourly_rows(documents(periods(*bad_first)), DOC), "timestamp")
-    assert len(got) == 47
-    assert got[-1]["timestamp"] == datetime(2024, 1, 2, 22)
+def test_hourly_keeps_every_period_unless_told_otherwise(documents):
+    item = lambda i: {"startTime": f"2023-05-{1 + i // 24:02d}T{i % 24:02d}:00:00Z"}
+    docs = documents(periods({"temperature": 1}, *[item(i) for i in range(60)]))
+    got = rows(hourly_rows(docs, DOC), "timestamp")
+    assert len(got) == 60 and got[-1]["timestamp"] == datetime(2023, 5, 3, 11)
+    some = rows(hourly_rows(docs, DOC, max_periods=20), "timestamp")
+    assert len(some) == 19 and some[-1]["timestamp"] == datetime(2023, 5, 1, 18)
 
 
 def day(start, is_day, temp, wind="10 mph", direction="N", text="Sunny", pop=0, **more):
@@ -147,22 +148,22 @@ def day(start, is_day, temp, wind="10 mph", direction="N", text="Sunny", pop=0,
 def test_day_and_night_become_one_row(documents):
     docs = documents(
         periods(
-            day("2024-01-15T06:00:00-05:00", True, 45, "10 to 15 mph", "NW", "Partly Cloudy", 30),
-            day("2024-01-15T18:00:00-05:00", False, 32, "5 to 10 mph", "N", "Clear", 10),
-            day("2024-01-16T06:00:00-05:00", True, 48, "8 mph", "NE", "Sunny", 0),
-            day("2024-01-17T21:00:00-05:00", False, 32),
+            day("2023-03-04T07:00:00+11:00", True, 86, "20 mph", "SSW", "Isolated Thunderstorms", 65),
+            day("2023-03-04T19:00:00+11:00", False, 59, "15 to 25 mph", "W", "Mostly Clear", 40),
+            day("2023-03-06T07:00:00+11:00", True, 95, "5 mph", "E", "Hot", 5),
+            day("2023-03-09T22:00:00+11:00", False, 14),
         )
     )
     first, second, third = rows(daily_rows(docs, DOC), "date")
     assert first == {
-        "doc_id": 0, "date": date(2024, 1, 15), "temp_min": near(0.0), "temp_max": near(65 / 9),
-        "temp_day": near(65 / 9), "temp_night": near(0.0), "humidity": None, "pressure": None,
-        "wind_speed": near(4.4704), "wind_deg": 315, "description": "Partly Cloudy", "icon": "02d",
-        "pop": near(0.3),
+        "doc_id": 0, "date": date(2023, 3, 4), "temp_min": near(15.0), "temp_max": near(30.0),
+        "temp_day": near(30.0), "temp_night": near(15.0), "humidity": None, "pressure": None,
+        "wind_speed": near(8.9408), "wind_deg": 202, "description": "Isolated Thunderstorms",
+        "icon": "11d", "pop": near(0.65),
     }
-    assert second["temp_min"] == second["temp_night"] == near(80 / 9 - 5)
-    assert third["date"] == date(2024, 1, 17)
-    assert third["temp_max"] == third["temp_day"] == near(5.0)
+    assert second["temp_min"] == second["temp_night"] == near(30.0)
+    assert third["date"] == date(2023, 3, 9)
+    assert third["temp_max"] == third["temp_day"] == near(-5.0)
 
 
 def test_fold_order_rules(documents):
@@ -199,10 +200,11 @@ def test_fold_order_rules(documents):
     assert (e["temp_day"], e["temp_night"], e["wind_speed"], e["wind_deg"]) == (near(10.0), near(0.0), 0.0, 0)
 
 
-def test_seven_dates_are_kept(documents):
-    docs = documents(periods(*[day(f"2024-01-{d:02d}T06:00:00Z", True, 50) for d in range(12, 0, -1)]))
-    got = [r["date"].day for r in rows(daily_rows(docs, DOC), "date")]
-    assert got == [1, 2, 3, 4, 5, 6, 7]
+def test_every_date_is_kept_unless_told_otherwise(documents):
+    docs = documents(periods(*[day(f"2023-06-{d:02d}T06:00:00Z", True, 50) for d in range(12, 0, -1)]))
+    days = lambda **more: [r["date"].day for r in rows(daily_rows(docs, DOC, **more), "date")]
+    assert days() == list(range(1, 13))
+    assert days(max_dates=5) == [1, 2, 3, 4, 5]
 
 
 def test_points_and_stations(documents):
@@ -274,14 +276,17 @@ def test_combined_documents(documents):
         {},
         {**full, "hourly": [*full["hourly"][:49], reading(temp="absent")]},
     )
-    assert [r["doc_id"] for r in rows(combined_current(docs, DOC), "doc_id")] == [0, 6]
+    assert [r["doc_id"] for r in rows(combined_current(docs, DOC), "doc_id")] == [0]
     hours = rows(combined_hourly(docs, DOC), "doc_id", "timestamp")
-    assert [sum(r["doc_id"] == d for r in hours) for d in range(7)] == [48, 0, 0, 1, 0, 0, 48]
-    assert hours[0]["pop"] == 0.5 and hours[48]["temp"] is None and hours[48]["pop"] == 0.0
+    assert [sum(r["doc_id"] == d for r in hours) for d in range(7)] == [50, 0, 0, 1, 0, 0, 0]
+    assert hours[0]["pop"] == 0.5 and hours[50]["temp"] is None and hours[50]["pop"] == 0.0
     days = rows(combined_daily(docs, DOC), "doc_id", "date")
-    assert len(days) == 14 and days[6]["date"] == date(2024, 1, 7)
+    assert len(days) == 9 and days[8]["date"] == date(2024, 1, 9)
+    assert len(rows(combined_hourly(docs, DOC, max_entries=48))) == 49
+    assert len(rows(combined_daily(docs, DOC, max_entries=7))) == 7
     assert (days[0]["temp_min"], days[0]["temp_night"], days[0]["icon"]) == (1.0, 2.0, "50d")
     faults = {r["doc_id"]: r["reason"] for r in rows(combined_faults(docs))}
-    assert faults == {1: "current_incomplete", 2: "hourly_incomplete", 4: "hourly_incomplete"}
+    hours_broken = {i: "hourly_incomplete" for i in (2, 4, 6)}
+    assert faults == {1: "current_incomplete", **hours_broken}
     checked = {r["doc_id"]: r["reason"] for r in rows(validate_combined(docs))}
     assert checked[0] is None and checked[1] == "hourly_missing" and checked[5] == "current_missing"
