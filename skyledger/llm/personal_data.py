@@ -364,8 +364,12 @@ def fit(texts: list[str], steps: int = STEPS) -> dict[str, np.ndarray]:
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     """The model, learnt from at most ``sample`` documents that hold a digit (lowest hashes of the id)."""
     own = docs.select(F.col("doc_id").alias("own_id"), F.col("text").alias("own_text"))
-    own = own.filter(F.col("own_text").rlike("[0-9]")).orderBy(F.xxhash64("own_id"), "own_id", "own_text")
-    return fit([r.own_text for r in own.limit(sample).collect()])
+    own = own.filter(F.col("own_text").rlike("[0-9]"))
+    # The ids first: a sorted limit sends every task's candidates to the driver.
+    ids = own.select("own_id").orderBy(F.xxhash64("own_id"), "own_id").limit(sample)
+    taken = own.join(ids.distinct(), "own_id", "left_semi").collect()
+    taken.sort(key=lambda r: (r.own_id, r.own_text))
+    return fit([r.own_text for r in taken[:sample]])
 
 
 # --- whole texts -----------------------------------------------------------------------------------
