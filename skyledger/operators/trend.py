@@ -78,11 +78,8 @@ def seasonal(days: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
     """
     whole = Window.partitionBy(*by, "season")
     warmest_first = whole.orderBy(F.col("final_avg_temp").desc_nulls_last())
-    average = F.avg("final_avg_temp").over(whole)
-    return known_average(days).withColumns(
-        {
-            "seasonal_avg_temp": average,
-            "temp_deviation_from_seasonal_avg": F.col("final_avg_temp") - average,
-            "temp_rank_in_season": F.rank().over(warmest_first),
-        }
-    )
+    # The rank first: its sort serves the average, which then needs none of its own.
+    ranked = known_average(days).withColumn("temp_rank_in_season", F.rank().over(warmest_first))
+    averaged = ranked.withColumn("seasonal_avg_temp", F.avg("final_avg_temp").over(whole))
+    deviation = F.col("final_avg_temp") - F.col("seasonal_avg_temp")
+    return averaged.withColumn("temp_deviation_from_seasonal_avg", deviation)

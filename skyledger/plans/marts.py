@@ -125,11 +125,11 @@ def weather_trends(
         F.stddev_samp(temp).over(week).alias("temp_7day_volatility"),
         direction(temp, ordered).alias("temp_trend_direction"),
     )
-    seasoned = dated.select(
-        "*",
-        F.avg(temp).over(whole).alias("seasonal_avg_temp"),
-        F.rank().over(whole.orderBy(temp.desc_nulls_last())).alias("temp_rank_in_season"),
-    ).withColumn("temp_deviation_from_seasonal_avg", temp - F.col("seasonal_avg_temp"))
+    # The rank first: its sort serves the average, which then needs none of its own.
+    ranked = dated.withColumn("temp_rank_in_season", F.rank().over(whole.orderBy(temp.desc_nulls_last())))
+    seasoned = ranked.withColumn("seasonal_avg_temp", F.avg(temp).over(whole)).withColumn(
+        "temp_deviation_from_seasonal_avg", temp - F.col("seasonal_avg_temp")
+    )
     masked = seasoned.withColumns(
         {
             name: F.when(F.col("has_avg"), F.col(name))
