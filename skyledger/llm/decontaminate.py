@@ -13,8 +13,8 @@ Only DataFrame functions are used. The benchmark's windows are broadcast if ther
 
 Edge cases: NULL and empty texts have no words. An item shorter than a window is one window of its own
 length; one of fewer than ``LEAST_WORDS`` words, or a window with fewer literal words than
-``LEAST_LITERALS``, is not searched. Documents that repeat an id count as one. A NULL doc_id is reported
-as NULL. Of items with one template the smallest item_id is reported, with their number. Extra columns
+``LEAST_LITERALS``, is not searched. Documents that repeat an id count as one. A NULL doc_id or item_id is
+reported as NULL. Of items with one template the smallest item_id is reported, with their number. Extra columns
 are ignored.
 """
 
@@ -100,7 +100,7 @@ def templates(benchmark: DataFrame) -> DataFrame:
     return own.groupBy("pattern").agg(
         F.min("item_id").alias("item_id"),
         F.count("*").alias("n_items"),
-        F.min_by(F.struct("template", "item_words"), "item_id").alias("own"),
+        F.min_by(F.struct("template", "item_words"), F.struct("item_id")).alias("own"),
     ).select("pattern", "item_id", "n_items", "own.template", "own.item_words")
 
 

@@ -71,4 +71,6 @@ def test_edges(spark):
     assert sum(r.doc_id is None for r in found) == 1
     left = D.decontaminated(docs, benchmark)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [0, 1, 2]
+    nameless = benchmark.withColumn("item_id", F.lit(None).cast("long")).filter(F.col("text") == ITEM)
+    assert sorted(r.doc_id or -1 for r in D.contaminated(docs, nameless).collect()) == [-1, 3, 4]
     assert pairs(docs.limit(0), benchmark) == pairs(docs, benchmark.limit(0)) == []
