@@ -15,6 +15,8 @@ from skyledger import DEFAULT_BY
 
 
 def by_date(by: Sequence[str] = DEFAULT_BY, order: str = "date") -> WindowSpec:
+    """Days of each station in order. ``by=()`` is for one site: all its days then form one partition,
+    which is bounded by the calendar, as rows are day grain."""
     return Window.partitionBy(*by).orderBy(F.col(order).asc_nulls_last())
 
 
