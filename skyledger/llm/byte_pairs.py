@@ -30,7 +30,7 @@ from skyledger.llm import words as W
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 SHORT = 48
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 NO_RANK = 1 << 30
 
 # The white space and word patterns of the tokenizer file.

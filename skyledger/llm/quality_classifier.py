@@ -101,7 +101,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
     merged = []
     for slots, values, label in rows:
         own, at = np.unique(slots, return_inverse=True)
-        merged.append((np.append(own, DIM), np.append(np.bincount(at, values, len(own)), 1.0), label))
+        sums = np.append(np.bincount(at, values, len(own)), 1.0).astype(np.float32)
+        merged.append((np.append(own, DIM).astype(np.int32), sums, label))
     for _ in range(EPOCHS):
         for slots, values, label in merged:
             model.learn(slots, values, label)
@@ -136,15 +137,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
                     ["text_id", "label", "slots", "shares"],
                 )
 
+    def learn(table: pa.Table) -> pa.Table:
+        # At most ``sample`` rows (more only if ids repeat); one task learns from them, as each update
+        # builds on the one before, and only the weights leave it.
+        keys = zip(*(table.column(c).to_pylist() for c in ("text_id", "label", "slots")), strict=True)
+        order = sorted(enumerate(keys), key=lambda k: (k[1][0] * 2654435761 % (1 << 32), *k[1]))
+        cell = lambda c, i: table.column(c)[i].as_buffer()
+        learnt = fit(
+            [
+                (np.frombuffer(cell("slots", i), "<i4"), np.frombuffer(cell("shares", i), "<f4"), label)
+                for i, (_, label, _) in order[:sample]
+            ]
+        )
+        return pa.table({"weights": pa.array([learnt.tobytes()], pa.binary())})
+
     found = rows.mapInArrow(featurise, "text_id long, label double, slots binary, shares binary")
-    table = found.toArrow().to_pylist()  # at most ``sample`` rows (more only if ids repeat)
-    table.sort(key=lambda r: (r["text_id"] * 2654435761 % (1 << 32), r["text_id"], r["label"], r["slots"]))
-    return fit(
-        [
-            (np.frombuffer(r["slots"], "<i4"), np.frombuffer(r["shares"], "<f4").astype(float), r["label"])
-            for r in table[:sample]
-        ]
-    )
+    together = found.withColumn("all", F.lit(True)).groupBy("all")
+    learnt = together.applyInArrow(learn, "weights binary").collect()  # one row
+    return np.frombuffer(bytes(learnt[0].weights), np.float32) if learnt else np.zeros(DIM + 1, np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from skyledger.llm import words as W
 from skyledger.llm.byte_pairs import VOCABULARY, WORD_END, byte_letters
 
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
