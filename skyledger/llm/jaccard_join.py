@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import words as W
@@ -97,12 +97,12 @@ def frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
     """The sketch: for each counter in how many documents its shingles occur. ``SKETCH`` numbers."""
 
     def count(batches):
-        totals = np.zeros(SKETCH, np.int64)
+        totals = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             for part in W.slices(batch.column(0)):
                 found = W.shingle_sets(part, rule.shingle)
                 slot, n = np.unique(place(np.concatenate(found)), return_counts=True)
-                totals[slot] += n
+                totals[slot] += n.astype(np.uint32)
         chunks = range(0, SKETCH if totals.any() else 0, CHUNK)
         numbers = pa.array([k // CHUNK for k in chunks], pa.int32())
         yield pa.RecordBatch.from_arrays(
@@ -146,7 +146,7 @@ def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
     sketch = frequencies(docs, rule)
     # Counters that stand out from the mean filling hold frequent shingles; all others are level.
     level = sketch.mean() + DEVIATIONS * np.sqrt(sketch.mean()) + FREQUENT
-    sent = docs.sparkSession.sparkContext.broadcast(np.where(sketch > level, sketch, 0).astype(np.uint32))
+    sent = docs.sparkSession.sparkContext.broadcast(np.where(sketch > level, np.minimum(sketch, 65535), 0).astype(np.uint16))
 
     def run(texts):
         rank = sent.value
@@ -385,7 +385,12 @@ def joined(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     open_ = members.filter("members > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = open_.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_ = open_.join(mixed.filter("low < high").select("region"), "region", "left_semi")
-    open_ = staged(open_.join(own, "node").select("region", "node", "n", "bits", "label"), "open")
+    # Who has no other member of a fitting size has nothing to link with; bits go along only after that.
+    open_ = open_.join(classes.select("node", "n"), "node").select("region", "node", "n", "label")
+    by_size = Window.partitionBy("region").orderBy("n")
+    fits = rule.sizes_fit(F.lag("n").over(by_size), F.col("n")) | rule.sizes_fit(F.lead("n").over(by_size), F.col("n"))
+    open_ = open_.withColumn("fits", fits).filter("fits").drop("fits")
+    open_ = staged(open_.join(classes.select("node", "bits"), "node").select("region", "node", "n", "bits", "label"), "open")
     more = staged(crossing(cut(open_, rule), rule), "more-pairs")
     if more.limit(1).count():
         more = staged(verified(more, docs, rule), "more-links")
