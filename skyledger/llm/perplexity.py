@@ -1,15 +1,18 @@
-"""Quality rules: base counts of a text, and a band of n-gram perplexity per language.
-
-The language model is an interpolated modified Kneser-Ney model over symbols. A text is a run of the
-64 symbols of ``SYMBOL`` (letters without case, one digit, single signs, classes for all else; white
-space runs are one space), framed by borders. Spark counts the 4-grams of every text per language;
-each task adds up its own counts before the shuffle. There are at most 64**4 grams a language, which
-bounds the model; lower orders follow from the highest one. Probabilities and back-off weights stand in
-two sorted arrays of 64-bit hashes of (language, order, gram), searched by bisection.
-
-A text's score is its negative log-probability per word, the log of its word perplexity. For each language the quartiles of
-the scores of all texts that pass the base rules give a band, quartile distance times ``FENCE`` (at
-least ``LEAST_WIDTH``) beyond the quartiles; a text outside its language's band is rejected.
+"""Quality rules: base counts of a text, and bands of n-gram perplexity per language.
+
+Two interpolated modified Kneser-Ney models see each text. The word model counts word 1-, 2- and 3-grams
+(A-Z without case, as 64-bit hashes) of all texts in tables that grow with the corpus and never leave the
+executors; continuation counts, discounts and back-off weights follow by grouping. Texts are dealt into two
+halves by their hash, and each is judged by the model of the half that does not hold it: exact copies do not
+vouch for each other, and no text for itself. The letter model sees the spelling: 4-grams of the
+64 symbols of ``SYMBOL`` (letters without case, one digit, single signs, classes for all else; white space
+runs are one space), framed by borders. It has at most 64**4 grams a language and is broadcast.
+
+``log_perplexity`` is the negative log-probability of the word model per word and text end;
+``spelling`` that of the letter model per word. For each language (and half, for the word model) the
+quartiles of the scores of all texts that pass the base rules give a band, quartile distance times ``FENCE``
+(at least ``LEAST_WIDTH``) beyond the quartiles. A text above one of its two bands or below the one of
+its spelling is rejected; a low score of the word model only says that other texts share passages.
 
 Edge cases: NULL texts have no words and fail the base rules. A NULL language is the language ''. A
 language with one text keeps it, as the band holds its own quartiles. Repeated rows count and are
@@ -18,9 +21,11 @@ returned each. Columns named like the results are replaced; others are ignored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,8 +227,8 @@ def kneser_ney(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, ...]]:
     return out
 
 
-def fit(docs: DataFrame) -> Model:
-    """The model of all texts; the counts have at most 64**4 rows a language."""
+def letter_model(docs: DataFrame) -> Model:
+    """The letter model of all texts; the counts have at most 64**4 rows a language."""
     table = gram_counts(docs).orderBy("lang", "gram").toArrow()
     language, gram, n = (table.column(i) for i in range(3))
     gram, n = gram.to_numpy().astype(np.uint32), n.to_numpy()
@@ -232,15 +237,130 @@ def fit(docs: DataFrame) -> Model:
     return Model({name: (gram[codes == i], n[codes == i]) for i, name in enumerate(code.dictionary.to_pylist())})
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with the base counts and log_perplexity, the negative log-probability per word."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    own = docs.withColumn(
+#: A word model is that of one language and one half of its texts.
+MODEL = ["language_key", "half"]
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def word_grams(docs: DataFrame) -> DataFrame:
+    """text_key, language_key, u, v, w, n: each text's word 3-grams, one for each word and one for its end."""
+    own = docs.select(text_key(), F.xxhash64(F.coalesce("lang", F.lit(""))), "text")
+    names = ["text_key", "language_key", "u", "v", "w", "n"]
+
+    def run(batches):
+        for batch in batches:
+            for part in W.slices(batch.column(2)):
+                found = W.words(part, lower=True)
+                row = np.repeat(np.arange(part.n), found.per_row + 3)
+                ends = np.cumsum(found.per_row + 3)
+                words = np.zeros(len(row), np.uint64)
+                words[np.arange(len(found.row)) + 3 * found.row + 2] = found.hash
+                words[ends - 1] = 1
+                at = np.flatnonzero(row[:-2] == row[2:])
+                key = W.mix(W.chain(words, 3)[at] + row[at].astype(np.uint64) * W.MULTIPLIERS[0])
+                _, first, n = np.unique(key, return_index=True, return_counts=True)
+                at = at[first]
+                of = pa.array(row[at] + part.first)
+                grams_ = [pa.array(words[at + j].view(np.int64)) for j in range(3)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of), *grams_, pa.array(n)], names
+                )
+
+    return own.mapInArrow(run, ", ".join(f"{name} long" for name in names))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """language_key, u, v, w and their counts in each half of the texts."""
+    of = F.col("text_key").bitwiseAND(F.lit(1))
+    counts = [F.sum(F.when(of == half, F.col("n")).otherwise(0)).alias(f"n{half}") for half in (0, 1)]
+    return word_grams(docs).groupBy("language_key", "u", "v", "w").agg(*counts)
+
+
+def discount(n: Column) -> Column:
+    """``discounts`` as a column: of a count ``n``, from the columns c1 to c4."""
+    c = [F.col(f"c{i}") for i in range(1, 5)]
+    y = F.when(c[0] > 0, c[0] / (c[0] + 2 * c[1])).otherwise(0.5)
+    out = F.lit(0.0)
+    for i in range(1, 4):
+        d = F.when(c[i - 1] > 0, i - (i + 1) * y * c[i] / c[i - 1]).otherwise(i / 2)
+        at = n == i if i < 3 else n >= 3
+        out = F.when(at, F.least(F.greatest(d, F.lit(0.05 * i)), F.lit(0.95 * i))).otherwise(out)
+    return out
+
+
+def interpolated(table: DataFrame, context: list[str], name: str) -> DataFrame:
+    """``table`` with p: of its counts n (0 if unseen) after the context, on top of the lower order's ``below``."""
+    kinds = [F.count_if(F.col("n") == i).alias(f"c{i}") for i in range(1, 5)]
+    sizes = staged(table.groupBy(MODEL).agg(*kinds), f"{name}-discounts")  # one row per model
+    ways = table.filter("n > 0").groupBy(*MODEL, *context).agg(
+        F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("ones"),
+        F.count_if(F.col("n") == 2).alias("twos"), F.count_if(F.col("n") > 2).alias("more"),
+    )
+    taken = sum(F.col(k) * discount(F.lit(i)) for i, k in enumerate(("ones", "twos", "more"), 1))
+    ways = ways.join(sizes, MODEL).select(*MODEL, *context, "total", (taken / F.col("total")).alias("weight"))
+    if not context:
+        ways = staged(ways, f"{name}-weights")
+    share = (F.col("n") - discount(F.col("n"))) / F.col("total") + F.col("weight") * F.col("below")
+    joined = table.join(ways, [*MODEL, *context], "left").join(sizes, MODEL)
+    return joined.withColumn("p", F.coalesce(share, F.col("below"))).drop("total", "weight", "c1", "c2", "c3", "c4", "below")
+
+
+def word_scores(counts: DataFrame) -> DataFrame:
+    """gram, log_p: of every 3-gram of one half's texts, by the model of the other half."""
+    halves = [
+        F.struct(F.lit(h).alias("half"), F.col(f"n{h}").alias("n"), (F.col(f"n{1 - h}") > 0).alias("asked")) for h in (0, 1)
+    ]
+    triples = counts.select("language_key", "u", "v", "w", F.inline(F.array(*halves)))
+    pairs = staged(triples.groupBy(*MODEL, "v", "w").agg(F.count_if(F.col("n") > 0).alias("n")), "pairs")
+    words = staged(pairs.groupBy(*MODEL, "w").agg(F.count_if(F.col("n") > 0).alias("n")), "words")
+    known = staged(words.groupBy(MODEL).agg((1 / (F.count_if(F.col("n") > 0) + 1)).alias("below")), "known")
+    below = lambda table: table.withColumnRenamed("p", "below").drop("n")
+    one = below(interpolated(words.join(known, MODEL), [], "word"))
+    two = below(interpolated(pairs.join(one, [*MODEL, "w"]), ["v"], "pair"))
+    three = interpolated(triples.join(two, [*MODEL, "v", "w"]), ["u", "v"], "triple").filter("asked")
+    gram = F.xxhash64(*MODEL, "u", "v", "w").alias("gram")
+    return staged(three.select(gram, F.log("p").cast("float").alias("log_p")), "word-scores")
+
+
+@dataclass
+class Fitted:
+    """The letter model, and the word models' logarithms of the texts' 3-grams."""
+
+    letters: Model
+    words: DataFrame
+
+
+def fit(docs: DataFrame) -> Fitted:
+    """The models of all texts."""
+    return Fitted(letter_model(docs), word_scores(staged(word_counts(docs), "word-grams")))
+
+
+def with_word_score(docs: DataFrame, own: DataFrame, words: DataFrame) -> DataFrame:
+    """``docs`` with half and log_perplexity. Copies of a text add to both sums alike."""
+    other = 1 - F.col("text_key").bitwiseAND(F.lit(1))
+    gram = F.xxhash64("language_key", other.cast("int"), "u", "v", "w").alias("gram")
+    means = (
+        word_grams(own).select("text_key", "language_key", gram, "n").join(words, "gram")
+        .groupBy("text_key", "language_key")
+        .agg((-F.sum(F.col("n") * F.col("log_p")) / F.sum("n")).alias("log_perplexity"))
+    )
+    return docs.join(means, ["text_key", "language_key"], "left").drop("text_key", "language_key")
+
+
+def scores(docs: DataFrame, model: Fitted) -> DataFrame:
+    """``docs``, whose texts ``fit`` has seen, with the base counts, half, log_perplexity and spelling."""
+    sent = docs.sparkSession.sparkContext.broadcast(model.letters)
+    keys = {"text_key": text_key(), "language_key": F.xxhash64(F.coalesce("lang", F.lit("")))}
+    own = docs.withColumns(keys).withColumn("half", F.col("text_key").bitwiseAND(F.lit(1)))
+    own = own.withColumn(
         "framed", F.struct(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
     )
     at = own.columns.index("framed")
     new = T.StructType.fromDDL(
-        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
+        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, spelling double"
     )
 
     def score(batches):
@@ -260,7 +380,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *counts, pa.array(out)], schema.names)
 
     schema = T.StructType([*own.schema.fields, *new.fields])
-    return own.mapInArrow(score, schema).drop("framed")
+    return with_word_score(own.mapInArrow(score, schema).drop("framed"), docs, model.words)
 
 
 def judge(scored: DataFrame) -> DataFrame:
@@ -269,24 +389,30 @@ def judge(scored: DataFrame) -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
     scored = scored.withColumn("base_failed", failed).withColumn("language", F.coalesce("lang", F.lit("")))
+    inside = F.lit(True)
+    for score, by in (("log_perplexity", ["language", "half"]), ("spelling", ["language"])):
+        low, high = f"{score}_low", f"{score}_high"
+        scored = scored.join(band(scored, score, by).toDF(*by, low, high), by, "left")
+        inside = inside & (F.col(score) <= F.col(high))
+    # Passages that other texts hold too make the word model's score small: no fault of the language.
+    inside = inside & (F.col("spelling") >= F.col("spelling_low"))
+    return scored.withColumn("perplexity", F.exp("log_perplexity")).withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
+    )
+
+
+def band(scored: DataFrame, score: str, by: list[str]) -> DataFrame:
+    """Lowest and highest ``score`` that is kept, per ``by``."""
     bins = (
         scored.filter("not base_failed")
-        .groupBy("language", F.round(F.col("log_perplexity") / BIN).alias("bin"))
+        .groupBy(*by, F.round(F.col(score) / BIN).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    # One row per language and occupied bin; the bins of a score are bounded by its range.
-    quartiles = bins.groupBy("language").agg(
-        F.expr("percentile(bin, array(0.25, 0.75), n)").alias("q")
-    )
+    # One row per group and occupied bin; the bins of a score are bounded by its range.
+    quartiles = bins.groupBy(by).agg(F.expr("percentile(bin, array(0.25, 0.75), n)").alias("q"))
     low, high = F.col("q")[0] * BIN, F.col("q")[1] * BIN
     reach = F.greatest(FENCE * (high - low), F.lit(LEAST_WIDTH))
-    bands = quartiles.select("language", (low - reach).alias("low"), (high + reach).alias("high"))
-    inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return (
-        scored.join(bands, "language", "left")
-        .withColumn("perplexity", F.exp("log_perplexity"))
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-    )
+    return quartiles.select(*by, low - reach, high + reach)
 
 
 def op3_perplexity(spark, sf_dir: str) -> DataFrame:

@@ -60,3 +60,45 @@ def test_edges(spark):
     assert rows[4].n_dup_lines == 0 and rows[5].perplexity == rows[6].perplexity
     none = own.limit(0)
     assert P.judge(P.scores(none, P.fit(none))).count() == 0
+
+
+def grammar(rng, n):
+    """Sentences of one fixed word order each."""
+    words = [[f"{a}{b}{c}" for b in "aeiou" for c in "nrt"] for a in ("th", "qu", "m", "gr", "pl", "sw")]
+    return [w for _ in range(n) for w in (rng.choice(k) for k in words)]
+
+
+def test_shuffled_words_are_rejected_and_the_tables_grow(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(grammar(rng, 30)) for _ in range(60)]
+    order = [" ".join(rng.permutation(grammar(rng, 30))) for _ in range(2)]
+    docs = frame(spark, *texts, *order).select("doc_id", "lang", "text")
+    assert P.word_counts(docs).count() > 1.3 * P.word_counts(docs.filter("doc_id < 20")).count()
+    kept = {r.doc_id for r in P.judge(P.scores(docs, P.fit(docs))).filter("kept").collect()}
+    assert kept == set(range(60))
+
+
+def test_word_probabilities_equal_plain_kneser_ney(spark):
+    texts = ["a b a b c", "a b c d", "b c a b", "c d a b c a", "d a b", "a a b c d d"]
+    docs = frame(spark, *texts).select("doc_id", "lang", "text")
+    keys = [r[0] for r in docs.orderBy("doc_id").select(P.text_key()).collect()]
+    rows = {r.doc_id: r.log_perplexity for r in P.scores(docs, P.fit(docs)).collect()}
+    grams = [list(zip(s, s[1:], s[2:])) for s in (["", "", *t.split(), "."] for t in texts)]
+    for i, own in enumerate(grams):
+        three = Counter(g for j, other in enumerate(grams) if (keys[j] ^ keys[i]) & 1 for g in other)
+        two = Counter(g[1:] for g in three)
+        one = Counter(g[1:] for g in two)
+        assert three
+
+        def p(gram, counts=(one, two, three), order=None):
+            order = len(gram)
+            table = counts[order - 1]
+            below = p(gram[1:]) if order > 1 else 1 / (len(one) + 1)
+            cut = P.discounts(np.array(list(table.values())))
+            after = [n for g, n in table.items() if g[:-1] == gram[:-1]]
+            if not after:
+                return below
+            n = table[gram]
+            return (n - cut[min(n, 3)] + sum(cut[min(m, 3)] for m in after) * below) / sum(after)
+
+        assert abs(rows[i] + np.mean([np.log(p(g)) for g in own])) < 1e-5
