@@ -1,19 +1,24 @@
 """Benchmark decontamination by templates: finds re-parameterised copies of benchmark items in documents.
 
-A text becomes a template: numbers, units after numbers and names turn into typed placeholders, all other
-words lose case and punctuation (``canonical``). Windows of ``WINDOW`` template words are hashed, and the
-windows of all documents joined with those of the benchmark. Matches of one document and item that lie
-on one diagonal (equal distance of positions) belong together. A diagonal counts when at least half of
-the item's windows match, or ``ENOUGH`` of them, and when its slots are consistent: along the diagonal
-each value in a slot of the item stands for one value in the document, and each of the document's for
-one of the item. Items with one template and one pattern of equal slots are searched once.
+A text is read in three forms. As a *template*, numbers, units after numbers and names inside sentences turn
+into typed placeholders, all other words lose case and punctuation (``canonical``). As an *open* template, each
+run of words with a capital is one name, also where a sentence starts or all letters are capitals, and an
+amount with its unit is one number (``glued``). As *folded* words nothing is replaced: exact copies in any case.
+
+Windows of ``WINDOW`` words of each form are hashed, and the windows of all documents joined with those of
+the benchmark. Matches of one document, item and form that lie on one diagonal (equal distance of positions)
+belong together. A diagonal counts when at least half of the item's windows that are searched match, or
+``ENOUGH`` of them, and when its slots are consistent: along the diagonal each value in a slot of the item
+stands for one value in the document, and each of the document's for one of the item. Items with one
+template and one pattern of equal slots are reported once; each of their open and folded forms is searched.
 
 Only DataFrame functions are used. The benchmark's windows are broadcast if there are at most
 ``BROADCAST_WINDOWS`` of them, counted first; beyond that the join shuffles.
 
 Edge cases: NULL and empty texts have no words. An item shorter than a window is one window of its own
-length; one of fewer than ``LEAST_WORDS`` words, or a window with fewer literal words than
-``LEAST_LITERALS``, is not searched. Documents that repeat an id count as one. A NULL doc_id or item_id is
+length. An item of fewer than ``LEAST_WORDS`` words, or a window with fewer literal words than
+``LEAST_LITERALS``, is searched in the folded form only. A name written without any capital is a literal.
+Documents that repeat an id count as one. A NULL doc_id or item_id is
 reported as NULL. Of items with one template the smallest item_id is reported, with their number. Extra columns
 are ignored.
 """
@@ -33,6 +38,9 @@ LEAST_LITERALS = 3
 ENOUGH = 6
 BROADCAST_WINDOWS = 1_000_000
 NUMBER, UNIT, NAME = "<0>", "<u>", "<n>"
+TEMPLATE, OPEN, FOLDED = "template", "open", "folded"
+GLUE = "\u203f"
+QUIET = r"[^\p{L}\p{N}\s]*+"
 
 # Number words and unit words.
 NUMBER_WORDS = (
@@ -58,22 +66,45 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def canonical(words: Column) -> Column:
-    """Template of a spaced text: as many words, placeholders for numbers, units and names."""
-    quiet = r"[^\p{L}\p{N}\s]*+"
-    amount = rf"(?<!\S){quiet}[0-9][0-9.,:/-]*+(?:{either(UNIT_WORDS)}|%|°)?{quiet}(?!\S)"
-    number_word = rf"(?i)(?<!\S){quiet}(?:{either(NUMBER_WORDS)}){quiet}(?!\S)"
+def canonical(words: Column, open_: bool = False) -> Column:
+    """Template of a spaced text: as many words, placeholders for numbers, units and names. ``open_``: of a
+    glued text, in which each word with a capital is a name."""
+    glue = rf"(?:{GLUE}(?:{either(UNIT_WORDS)}))?" if open_ else ""
+    amount = rf"(?<!\S){QUIET}[0-9][0-9.,:/-]*+(?:{either(UNIT_WORDS)}|%|°)?{glue}{QUIET}(?!\S)"
+    number_word = rf"(?i)(?<!\S){QUIET}(?:{either(NUMBER_WORDS)}){glue}{QUIET}(?!\S)"
     out = F.regexp_replace(words, amount, NUMBER)
     out = F.regexp_replace(out, number_word, NUMBER)
-    out = F.regexp_replace(out, rf"(?i)(?<={NUMBER}) {quiet}(?:{either(UNIT_WORDS)}){quiet}(?!\S)", f" {UNIT}")
-    # A capital inside a sentence: the word before does not end one.
-    out = F.regexp_replace(out, rf"(?<=[^\s.!?:;] ){quiet}\p{{Lu}}[\p{{Ll}}\p{{M}}'-]++{quiet}(?!\S)", NAME)
+    if open_:
+        out = F.regexp_replace(out, rf"(?<!\S){QUIET}\p{{Lu}}[\p{{L}}\p{{M}}'{GLUE}-]*+{QUIET}(?!\S)", NAME)
+    else:
+        unit = rf"(?i)(?<={NUMBER}) {QUIET}(?:{either(UNIT_WORDS)}){QUIET}(?!\S)"
+        out = F.regexp_replace(out, unit, f" {UNIT}")
+        # A capital inside a sentence: the word before does not end one.
+        name = rf"(?<=[^\s.!?:;] ){QUIET}\p{{Lu}}[\p{{Ll}}\p{{M}}'-]++{QUIET}(?!\S)"
+        out = F.regexp_replace(out, name, NAME)
     return F.lower(F.regexp_replace(out, r"[^\p{L}\p{N}<> ]+|<(?![0un]>)|(?<!<[0un])>", ""))
 
 
+def glued(words: Column) -> Column:
+    """A spaced text in which runs of words with capitals, and amounts with their units, are one word."""
+    units = rf"(?=(?:{either(UNIT_WORDS)}){QUIET}(?!\S))"
+    out = F.regexp_replace(words, rf"(?<!\S)({QUIET}[0-9][0-9.,:/-]*+) {units}", f"$1{GLUE}")
+    out = F.regexp_replace(out, rf"(?i)(?<!\S)({QUIET}(?:{either(NUMBER_WORDS)})) {units}", f"$1{GLUE}")
+    return F.regexp_replace(out, rf"(?<!\S)({QUIET}\p{{Lu}}[\p{{L}}\p{{M}}'-]*+) (?={QUIET}\p{{Lu}})", f"$1{GLUE}")
+
+
+def forms(text: Column) -> dict[str, tuple[Column, Column]]:
+    """Of a spaced text: the words of each form, and what is hashed of them."""
+    folded = F.lower(F.regexp_replace(text, r"[^\p{L}\p{N} ]+", ""))
+    made = {TEMPLATE: (text, canonical(text)), OPEN: (glued(text), canonical(glued(text), True)), FOLDED: (text, folded)}
+    return {form: (F.split(words, " "), F.split(hashed, " ")) for form, (words, hashed) in made.items()}
+
+
 def plain(word: Column) -> Column:
-    """A slot's value: the word without case and punctuation around it."""
-    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    """A slot's value: the word without case and punctuation around it; of a run of names the last, as a
+    sentence's first word may be no name."""
+    last = F.regexp_replace(word, rf"^.*{GLUE}(?=[^\p{{L}}\p{{N}}]*\p{{Lu}})", "")
+    return F.lower(F.regexp_replace(last, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
 
 
 def window_hashes(words: Column, size: int) -> Column:
@@ -88,57 +119,66 @@ def is_slot(word: Column) -> Column:
 
 
 def templates(benchmark: DataFrame) -> DataFrame:
-    """One row per template and pattern of equal slots: item_id, n_items, template, item_words."""
-    own = benchmark.select("item_id", spaced(F.col("text")).alias("spaced"))
-    own = own.select(
-        "item_id", F.split("spaced", " ").alias("item_words"), F.split(canonical(F.col("spaced")), " ").alias("template")
-    )
-    own = own.filter(F.size("template") >= LEAST_WORDS)
-    values = F.transform("item_words", plain)
-    slots = F.transform("template", lambda w, i: F.when(is_slot(w), F.array_position(values, values[i])))
-    own = own.withColumn("pattern", F.xxhash64("template", slots))
-    return own.groupBy("pattern").agg(
-        F.min("item_id").alias("item_id"),
-        F.count("*").alias("n_items"),
-        F.min_by(F.struct("template", "item_words"), F.struct("item_id")).alias("own"),
-    ).select("pattern", "item_id", "n_items", "own.template", "own.item_words")
+    """One row per template and pattern of equal slots, form and text of that form: pattern, item_id,
+    n_items, form, entry, template, item_words."""
+    own = benchmark.select("item_id", spaced(F.col("text")).alias("spaced")).filter("spaced <> ''")
+    made = [
+        F.struct(F.lit(form).alias("form"), words.alias("item_words"), template.alias("template"))
+        for form, (words, template) in forms(F.col("spaced")).items()
+    ]
+    own = own.select("item_id", F.array(*made).alias("forms"))
+
+    def pattern(form: Column) -> Column:
+        values = F.transform(form["item_words"], plain)
+        slots = F.transform(form["template"], lambda w, i: F.when(is_slot(w), F.array_position(values, values[i])))
+        return F.xxhash64(form["template"], slots)
+
+    own = own.withColumn("pattern", pattern(F.col("forms")[0]))
+    groups = own.groupBy("pattern").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
+    each = own.select("pattern", "item_id", F.explode("forms").alias("own"))
+    each = each.withColumn("entry", F.xxhash64("pattern", "own.form", pattern(F.col("own"))))
+    each = each.groupBy("pattern", "entry").agg(F.min_by("own", F.struct("item_id")).alias("own"))
+    return each.join(groups, "pattern").select("pattern", "item_id", "n_items", "entry", "own.*")
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """hash, size, pattern, item_at, n_windows, slotted of every window searched."""
-    size = F.least(F.size("template"), F.lit(WINDOW))
-    own = items.select("pattern", "template", size.alias("size"), (F.size("template") - size + 1).alias("n_windows"))
-    own = own.withColumn("at", F.explode(F.sequence(F.lit(1), F.col("n_windows"))))
-    own = own.withColumn("words", F.slice("template", F.col("at"), F.col("size")))
-    slots = F.size(F.filter("words", is_slot))
-    own = own.filter(F.col("size") - slots >= LEAST_LITERALS)
+    """hash, size, form, entry, item_at, n_windows, slotted of every window searched."""
+    own = items.withColumn("size", F.least(F.size("template"), F.lit(WINDOW)))
+    n_slots = lambda at: F.size(F.filter(F.slice("template", at, F.col("size")), is_slot))
+    # Windows without enough literal words are found as folded words only.
+    searched = lambda at: (F.col("form") == FOLDED) | (
+        (F.size("template") >= LEAST_WORDS) & (F.col("size") - n_slots(at) >= LEAST_LITERALS)
+    )
+    at = F.filter(F.sequence(F.lit(1), F.size("template") - F.col("size") + 1), searched)
+    own = own.withColumn("searched", at).withColumn("item_at", F.explode("searched"))
     return own.select(
-        F.xxhash64("words").alias("hash"), "size", "pattern", F.col("at").alias("item_at"), "n_windows",
-        (slots > 0).alias("slotted"),
+        F.xxhash64(F.slice("template", F.col("item_at"), F.col("size"))).alias("hash"), "size", "form", "entry",
+        "item_at", F.size("searched").alias("n_windows"), (n_slots(F.col("item_at")) > 0).alias("slotted"),
     )
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Diagonals of documents and items with enough matching windows."""
     windows = staged(item_windows(items), "windows")
-    found = windows.groupBy("size").count().collect()  # one row per window size, at most WINDOW
+    found = windows.groupBy("form", "size").count().collect()  # one row per form and window size
     if sum(r["count"] for r in found) <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
-    own = docs.select("doc_id", F.split(canonical(spaced(F.col("text"))), " ").alias("words"))
+    own = docs.select("doc_id", spaced(F.col("text")).alias("spaced"))
     hits = []
-    for size in sorted(r["size"] for r in found):
-        each = own.select("doc_id", F.posexplode(window_hashes(F.col("words"), size)).alias("doc_at", "hash"))
-        own_size = windows.filter(F.col("size") == size).drop("size")
+    for form, size in sorted((r["form"], r["size"]) for r in found):
+        hashes = window_hashes(F.col("words"), size)
+        each = own.select("doc_id", forms(F.col("spaced"))[form][1].alias("words"))
+        each = each.select("doc_id", F.posexplode(hashes).alias("doc_at", "hash"))
+        own_size = windows.filter((F.col("size") == size) & (F.col("form") == form)).drop("size", "form")
         hits.append(each.join(own_size, "hash").drop("hash"))
     if not hits:
-        hits = [own.select("doc_id", F.lit(0).alias("doc_at")).join(windows.drop("size", "hash"), F.lit(False))]
+        hits = [own.select("doc_id", F.lit(0).alias("doc_at")).join(windows.drop("size", "form", "hash"), F.lit(False))]
     hit = reduce(DataFrame.union, hits)
-    at = (F.col("doc_at") + 1).alias("doc_at")
     diagonal = (F.col("doc_at") + 1 - F.col("item_at")).alias("diagonal")
     return (
-        hit.select("doc_id", "pattern", "item_at", "n_windows", "slotted", diagonal, at)
+        hit.select("doc_id", "entry", "item_at", "n_windows", "slotted", diagonal)
         .distinct()
-        .groupBy("doc_id", "pattern", "diagonal", "n_windows")
+        .groupBy("doc_id", "entry", "diagonal", "n_windows")
         .agg(F.count("*").alias("n_matched"), F.max("slotted").alias("slotted"), F.collect_list("item_at").alias("at"))
         .filter(F.col("n_matched") >= F.least(F.ceil(F.col("n_windows") / 2), F.lit(ENOUGH)))
     )
@@ -147,25 +187,26 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 def inconsistent(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
     """Of the diagonals with slots, those whose slots are not consistent."""
     texts = docs.select(F.col("doc_id").alias("text_id"), spaced(F.col("text")).alias("spaced"))
-    own = found.filter("slotted").join(items.select("pattern", "template", "item_words"), "pattern")
+    own = found.filter("slotted").join(items.select("entry", "form", "template", "item_words"), "entry")
     # The item's positions that the matched windows cover, and what stands there on both sides.
     covered = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + (WINDOW - 1)))))
     covered = F.filter(covered, lambda p: p <= F.size("template"))
     slots = F.filter(covered, lambda p: is_slot(F.element_at("template", p)))
-    own = own.select("doc_id", "pattern", "diagonal", "item_words", slots.alias("slots"))
+    own = own.select("doc_id", "entry", "diagonal", "form", "item_words", slots.alias("slots"))
     both = own.join(texts, F.col("doc_id").eqNullSafe(F.col("text_id")))
-    words = F.split("spaced", " ")
+    words = F.split(F.when(F.col("form") == OPEN, glued(F.col("spaced"))).otherwise(F.col("spaced")), " ")
+    both = both.withColumn("words", words)
     pair = F.transform(
         "slots",
         lambda p: F.struct(
             plain(F.element_at("item_words", p)).alias("item"),
-            plain(F.try_element_at(words, (p + F.col("diagonal")).cast("int"))).alias("doc"),
+            plain(F.try_element_at("words", (p + F.col("diagonal")).cast("int"))).alias("doc"),
         ),
     )
-    pairs = both.select("doc_id", "pattern", "diagonal", F.array_distinct(pair).alias("pairs"))
+    pairs = both.select("doc_id", "entry", "diagonal", F.array_distinct(pair).alias("pairs"))
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct(F.col("pairs.item"))) == n) & (F.size(F.array_distinct(F.col("pairs.doc"))) == n)
-    return pairs.groupBy("doc_id", "pattern", "diagonal").agg(F.max(one_to_one).alias("fits")).filter(~F.col("fits"))
+    return pairs.groupBy("doc_id", "entry", "diagonal").agg(F.max(one_to_one).alias("fits")).filter(~F.col("fits"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -173,15 +214,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = staged(templates(benchmark), "templates")
     found = staged(matches(docs, items), "diagonals")
     if found.filter("slotted").limit(1).count():
-        bad = inconsistent(docs, items, found).withColumnsRenamed({"doc_id": "d", "pattern": "p", "diagonal": "g"})
-        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("pattern") == F.col("p"))
+        bad = inconsistent(docs, items, found).withColumnsRenamed({"doc_id": "d", "entry": "e", "diagonal": "g"})
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("entry") == F.col("e"))
         found = found.join(bad, same & (F.col("diagonal") == F.col("g")), "left_anti")
-    best = found.groupBy("doc_id", "pattern").agg(
-        F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows")
-    )
-    return best.join(items.select("pattern", "item_id", "n_items"), "pattern").select(
-        "doc_id", "item_id", "n_items", "n_windows", "n_matched"
-    )
+    best = found.join(items.select("entry", "pattern", "item_id", "n_items"), "entry")
+    # The form that matches most, by its share of the windows searched.
+    most = F.struct((F.col("n_matched") / F.col("n_windows")).alias("share"), "n_matched", "n_windows")
+    return (
+        best.groupBy("doc_id", "pattern", "item_id", "n_items").agg(F.max(most).alias("most"))
+        .select("doc_id", "item_id", "n_items", "most.n_windows", "most.n_matched")
+    )
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -74,3 +74,18 @@ def test_edges(spark):
     nameless = benchmark.withColumn("item_id", F.lit(None).cast("long")).filter(F.col("text") == ITEM)
     assert sorted(r.doc_id or -1 for r in D.contaminated(docs, nameless).collect()) == [-1, 3, 4]
     assert pairs(docs.limit(0), benchmark) == pairs(docs, benchmark.limit(0)) == []
+
+
+def test_names_at_sentence_starts_and_copies_in_any_case(spark):
+    item = "Tom has 5 apples. Ann gives him 3 pears. How many does Tom have?"
+    docs = frame(
+        spark,
+        "Bob has 7 apples. Sue gives him 4 pears. How many does Bob have?",
+        "BOB has 7 apples. Mary Lou gives him 4 pears. How many does BOB have?",
+        "Bob has 7 apples. Sue gives him 4 pears. How many does Jim have?",
+        item.lower(),
+        item.upper(),
+    )
+    assert pairs(docs, items(spark, item)) == [(0, 100), (1, 100), (3, 100), (4, 100)]
+    third = D.contaminated(frame(spark, "x", "y", ITEM.upper()), items(spark, ITEM, ITEM)).collect()
+    assert [(r.doc_id, r.item_id, r.n_items) for r in third] == [(2, 100, 2)]
