@@ -89,3 +89,15 @@ def test_names_at_sentence_starts_and_copies_in_any_case(spark):
     assert pairs(docs, items(spark, item)) == [(0, 100), (1, 100), (3, 100), (4, 100)]
     third = D.contaminated(frame(spark, "x", "y", ITEM.upper()), items(spark, ITEM, ITEM)).collect()
     assert [(r.doc_id, r.item_id, r.n_items) for r in third] == [(2, 100, 2)]
+
+
+def test_slot_heavy_and_short_items_are_found_as_copies(spark):
+    benchmark = items(spark, "What is 12 + 45?", "Who Wrote The Old Man And The Sea", "two words")
+    docs = frame(
+        spark, "so what is 12 + 45? ok", "say: who wrote the old man and the sea", "in two words here",
+        "what is 12 + 46?", "two other words",
+    )
+    assert pairs(docs, benchmark) == [(0, 100), (1, 101), (2, 102)]
+    # Fourteen words, five of seven windows slot-heavy: two are searched as templates, and both match.
+    slots = items(spark, "from Al Bo Cy Di Ed Flo Gus take 1 2 then give back all")
+    assert pairs(frame(spark, "from Ul Vo Wy Xi Yd Zlo Hus take 3 4 then give back all"), slots) == [(0, 100)]
