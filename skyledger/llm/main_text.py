@@ -2,8 +2,10 @@
 
 The page is read once from left to right. Block tags end a block; each block keeps its text, its words,
 the share of them inside links, whether it stands inside an article, and whether an element around it
-names itself as furniture (a menu, notice, advert, form, reader comment and so on). The tree sees these
-and the words and link shares of the blocks before and after. It is grown at import from ``LABELLED``, a
+names itself as furniture (a menu, notice, advert, form, reader comment and so on). The mark is a half
+where only the layout around speaks of furniture (``has-sidebar``) or where an article stands in an element
+with such a name; a main element, or an article in mere layout, is free of marks from around it. The tree
+sees these and the words and link shares of the blocks before and after. It is grown at import from ``LABELLED``, a
 table of blocks labelled by hand. Blocks it keeps are joined by an empty line.
 
 Edge cases: NULL and empty pages have no text. An open comment or script, and a tag cut off by the
@@ -42,6 +44,12 @@ FURNITURE_NAMES = frozenset(
     "recommended newsletter subscribe subscription signup login search widget toolbar pagination pager "
     "copyright legal disclaimer contentinfo complementary form".split()
 )
+#: Names that hold no article of the page itself, though they may hold article elements.
+REPEATED_NAMES = frozenset("comment comments disqus reply replies respond related recommended".split())
+#: Beside one of these, a furniture name only tells what the layout has.
+LAYOUT_NAMES = frozenset(
+    "has with without no wrap wrapper wrappers layout container outer inner page site content row columns grid".split()
+)
 OUTER_FURNITURE_NAMES = frozenset("header footer masthead topbar bottombar".split())
 
 TOKEN = re.compile(
@@ -82,6 +90,11 @@ LABELLED = np.array(
         (48, 0.0, 8, 0.0, 51, 0.0, 0, 0, 1), (75, 0.05, 40, 0.0, 33, 0.1, 0, 0, 1), (28, 0.0, 50, 0.0, 62, 0.0, 0, 0, 1),
         (130, 0.1, 3, 1.0, 20, 0.0, 0, 0, 1), (22, 0.1, 70, 0.0, 25, 0.0, 0, 0, 1), (35, 0.2, 26, 0.0, 4, 1.0, 0, 0, 1),
         (8, 0.0, 3, 1.0, 55, 0.0, 0, 0, 1), (6, 0.0, 60, 0.0, 70, 0.0, 0, 0, 1), (10, 0.0, 44, 0.0, 38, 0.0, 0, 0, 1),
+        (48, 0.0, 8, 0.0, 51, 0.0, 0.5, 0, 1), (75, 0.05, 40, 0.0, 33, 0.1, 0.5, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0.5, 0, 1),
+        (35, 0.0, 26, 0.0, 4, 1.0, 0.5, 0, 1), (52, 0.0, 8, 0.0, 51, 0.0, 0.5, 1, 1), (80, 0.1, 40, 0.0, 33, 0.1, 0.5, 1, 1),
+        (3, 1.0, 4, 1.0, 3, 1.0, 0.5, 0, 0), (5, 0.0, 3, 1.0, 4, 1.0, 0.5, 0, 0), (30, 0.8, 10, 0.5, 25, 0.9, 0.5, 0, 0),
+        (9, 0.0, 2, 0.0, 3, 0.0, 0.5, 1, 0), (8, 0.0, 3, 1.0, 55, 0.0, 0.5, 0, 1), (7, 0.0, 3, 1.0, 55, 0.0, 0.5, 1, 1),
+        (1, 1.0, 1, 1.0, 50, 0.0, 0.5, 0, 0), (2, 1.0, 40, 0.0, 1, 1.0, 0.5, 0, 0), (2, 1.0, 45, 0.0, 60, 0.0, 0.5, 1, 0),
         (60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (26, 0.0, 5, 1.0, 4, 1.0, 0, 0, 1), (5, 0.0, 0, 0.0, 45, 0.0, 0, 0, 1),
     ]
 )
@@ -107,7 +120,10 @@ def grow(table: np.ndarray, depth: int = 6) -> tuple | float:
     return best[1], float(best[2]), grow(table[low], depth - 1), grow(table[~low], depth - 1)
 
 
-TREE = grow(LABELLED)
+#: The first splits are by the mark, so that blocks of one mark do not move the cuts of another.
+MARK = 6
+_by_mark = [grow(LABELLED[LABELLED[:, MARK] == mark]) for mark in (0, 0.5, 1)]
+TREE = (MARK, 0.25, _by_mark[0], (MARK, 0.75, _by_mark[1], _by_mark[2]))
 
 
 def shares(tree: tuple | float, rows: np.ndarray) -> np.ndarray:
@@ -120,30 +136,41 @@ def shares(tree: tuple | float, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def furniture(tag: str, attrs: str, in_article: bool) -> bool:
+#: Marks of an element: none, of the layout, by name, and for good.
+CLEAR, LAYOUT, NAMED_SO, FIXED = range(4)
+
+
+def furniture(tag: str, attrs: str, in_article: bool) -> int:
     if tag in ARTICLE_TAGS or tag in ("body", "html"):
-        return False
+        return CLEAR
     if tag in FURNITURE_TAGS or (not in_article and tag in OUTER_FURNITURE_TAGS):
-        return True
+        return FIXED
+    return named(attrs, in_article)
+
+
+def named(attrs: str, in_article: bool) -> int:
+    """The mark by class, id and role."""
+    names: set[str] = set()
     if "=" in attrs:
         for m in NAMED.finditer(attrs):
-            names = NAME.findall((m[1] or m[2] or m[3] or "").lower())
-            if not FURNITURE_NAMES.isdisjoint(names):
-                return True
-            if not in_article and not OUTER_FURNITURE_NAMES.isdisjoint(names):
-                return True
-    return False
+            names.update(NAME.findall((m[1] or m[2] or m[3] or "").lower()))
+    if FURNITURE_NAMES.isdisjoint(names) and (in_article or OUTER_FURNITURE_NAMES.isdisjoint(names)):
+        return CLEAR
+    if not REPEATED_NAMES.isdisjoint(names):
+        return FIXED
+    return NAMED_SO if LAYOUT_NAMES.isdisjoint(names) else LAYOUT
 
 
 class Reader:
     """Blocks of one page in order: (text, words, words in links, furniture, article)."""
 
     def __init__(self) -> None:
-        self.blocks: list[tuple[str, int, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, int, float, bool]] = []
         self.pieces: list[tuple[str, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # tag, furniture, article
+        self.open: list[tuple[str, int, bool]] = []  # tag, mark, article
         self.depth: dict[str, int] = {}
-        self.n_furniture = self.n_article = 0
+        self.marks, self.n_article = [0] * 4, 0
+        self.outside: list[list[int]] = []  # marks around each open article
 
     def end_block(self) -> None:
         if not self.pieces:
@@ -152,18 +179,24 @@ class Reader:
         if text:
             linked = sum(len(p.split()) for p, link in self.pieces if link)
             n = text.count(" ") + 1
-            self.blocks.append((text, n, min(linked, n), self.n_furniture > 0, self.n_article > 0))
+            self.blocks.append((text, n, min(linked, n), self.mark(), self.n_article > 0))
         self.pieces = []
 
+    def mark(self) -> float:
+        _, layout, by_name, fixed = self.marks
+        return 1.0 if by_name or fixed else 0.5 if layout else 0.0
+
     def text(self, text: str) -> None:
         if text:
             self.pieces.append((references.unescape(text) if "&" in text else text, self.depth.get("a", 0) > 0))
 
     def pop(self) -> str:
-        tag, odd, article = self.open.pop()
+        tag, mark, article = self.open.pop()
         self.depth[tag] -= 1
-        self.n_furniture -= odd
         self.n_article -= article
+        if article:
+            self.marks = self.outside.pop()
+        self.marks[mark] -= 1
         return tag
 
     def start(self, tag: str, attrs: str) -> None:
@@ -178,10 +211,15 @@ class Reader:
             return
         if tag == "p" and self.depth.get("p") and "p" == self.open[-1][0]:
             self.pop()
-        odd, article = furniture(tag, attrs, self.n_article > 0), tag in ARTICLE_TAGS
-        self.open.append((tag, odd, article))
+        mark, article = furniture(tag, attrs, self.n_article > 0), tag in ARTICLE_TAGS
+        self.open.append((tag, mark, article))
         self.depth[tag] = self.depth.get(tag, 0) + 1
-        self.n_furniture += odd
+        self.marks[mark] += 1
+        if article:
+            self.outside.append(list(self.marks))
+            own = tag == "article" and named(attrs, True) != CLEAR
+            if not self.n_article and not self.marks[FIXED] and not own:
+                self.marks = [0, int(tag == "article" and self.marks[NAMED_SO] > 0), 0, 0]
         self.n_article += article
 
     def end(self, tag: str) -> None:
@@ -191,7 +229,7 @@ class Reader:
             while self.pop() != tag:
                 pass
 
-    def read(self, page: str) -> list[tuple[str, int, int, bool, bool]]:
+    def read(self, page: str) -> list[tuple[str, int, int, float, bool]]:
         at = 0
         for m in TOKEN.finditer(page):
             self.text(page[at : m.start()])

@@ -51,3 +51,18 @@ def test_edges(spark):
     assert got[4] == ["a b c d e f g h i j k l m n o p q r s t"]
     assert got[8][0] == got[8][1] and got[9] == ["\n\n".join(["same words again"] * 3)]
     assert M.with_main_text(pages.limit(0)).count() == 0
+
+
+def test_layout_with_furniture_names_keeps_the_article():
+    text, more = ("word " * 50).strip(), ("more " * 40).strip()
+    body = f"<p>{text}</p><p>{more}</p>"
+    links = "<ul><li><a>One</a></li><li><a>Two</a></li></ul>"
+    wanted = [f"{text}\n\n{more}"]
+    assert M.main_texts([f"<div class='content-sidebar-wrap'><main><h1>T</h1>{body}</main></div>"]) == [f"T\n\n{wanted[0]}"]
+    assert M.main_texts([f"<div class='sidebar'><main>{body}</main>{body}</div>"]) == wanted
+    assert M.main_texts([f"<div class='widget'><article>{body}</article></div>{links}"]) == wanted
+    for wrapper in ("class='layout has-sidebar'", "id='page' class='with-menu'"):
+        assert M.main_texts([f"<div {wrapper}>{links}<div>{body}</div>{links}</div>"]) == wanted
+    for wrapper in ("aside", "div class='sidebar'", "div class='comments'"):
+        assert M.main_texts([f"<{wrapper}>{body}</{wrapper.split()[0]}>"]) == [""]
+    assert M.main_texts([f"<div class='comments'><article>{body}</article></div>"]) == [""]
