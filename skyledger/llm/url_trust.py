@@ -2,13 +2,15 @@
 
 ``RULES`` are (verdict, host, path); a rule fits its host and all subdomains if the path starts with the
 rule's, and the longest fitting one decides. For all other urls the host decides: trust starts from hosts
-most of whose pages a rule allows and follows links (personalised PageRank); distrust starts from hosts
-most of whose pages a rule blocks and runs against the links, to hosts that link there. Each is a damped
+in proportion to their share of pages that a rule allows and follows links (personalised PageRank); distrust
+starts in proportion to the share of pages that a rule blocks and runs against the links, to hosts that link
+there. Each is a damped
 power iteration of joins and sums over one table of host edges. A host whose distrust is at least
 ``THRESHOLD`` of its trust and distrust together is blocked; a host that neither reaches is allowed.
 
 Host edges are the absolute links of a page to another host, and an edge both ways between a host and
-its parent domain where both have pages. Edges are counted before they are shuffled.
+its parent domain, up to the domain of two labels. A domain is a node also where it has no page, so hosts
+of one site meet there; a domain of one label is none. Edges are counted before they are shuffled.
 
 Edge cases: a NULL url, or one without ``://``, has an empty host and path, fits no rule and is allowed; it
 has no edges. NULL and empty pages have no links. Repeated pages count for their host and links each.
@@ -64,12 +66,17 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     )
     links = links.select("source", F.translate("to", UPPER, LOWER).alias("target"))
     links = links.filter("source <> '' and source <> target").groupBy("source", "target").agg(F.count("*").alias("n"))
-    parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..*)$", 1)
-    parents = hosts.filter("host <> ''").select(F.col("host").alias("child"), parent.alias("parent"))
-    site = parents.join(hosts.select(F.col("host").alias("parent")), "parent")
+    # Each host with every domain above it, the nearest first; one pair of neighbours per step.
+    labels = F.split("host", r"\.")
+    chain = F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    chain = F.when(F.size(labels) > 2, chain)
+    steps = hosts.filter("host <> ''").select(chain.alias("chain"))
+    steps = steps.select(F.inline(F.arrays_zip(
+        F.slice("chain", F.lit(1), F.size("chain") - 1).alias("child"), F.slice("chain", F.lit(2), F.size("chain") - 1).alias("parent")
+    ))).toDF("child", "parent").filter("child <> '' and parent <> '' and child <> parent").distinct()
     one = F.lit(1).cast("long").alias("n")
-    site = site.select(F.col("child").alias("source"), F.col("parent").alias("target"), one).union(
-        site.select(F.col("parent").alias("source"), F.col("child").alias("target"), one)
+    site = steps.select(F.col("child").alias("source"), F.col("parent").alias("target"), one).union(
+        steps.select(F.col("parent").alias("source"), F.col("child").alias("target"), one)
     )
     return links.union(site).groupBy("source", "target").agg(F.sum("n").alias("n"))
 
@@ -122,11 +129,11 @@ def host_trust(pages: DataFrame, ruled: DataFrame) -> DataFrame:
     edges = staged(host_edges(pages, counts), "edges")
     targets = edges.select(F.col("target").alias("host")).join(counts, "host", "left_anti").distinct()
     seeded = counts.select(
-        "host", (2 * F.col("allowed") > F.col("pages")).cast("double").alias("trust_seed"),
-        (2 * F.col("blocked") > F.col("pages")).cast("double").alias("distrust_seed"),
+        "host", (F.col("allowed") / F.col("pages")).alias("trust_seed"),
+        (F.col("blocked") / F.col("pages")).alias("distrust_seed"),
     ).union(targets.select("host", F.lit(0.0), F.lit(0.0)))
     totals = seeded.agg(F.sum("trust_seed"), F.sum("distrust_seed")).first()
-    trusted, distrusted = (max(t or 0.0, 1.0) for t in totals)
+    trusted, distrusted = (t or 1.0 for t in totals)
     seeded = seeded.select(
         "host", (F.col("trust_seed") / trusted).alias("trust_seed"),
         (F.col("distrust_seed") / distrusted).alias("distrust_seed"),

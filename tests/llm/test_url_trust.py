@@ -57,3 +57,10 @@ def test_query_returns_every_page(spark):
     out = U.op5_url_trust(spark, SF)
     assert out.columns[:5] == ["page_id", "host", "path", "rule", "verdict"]
     assert out.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+def test_partly_blocked_hosts_seed_and_sites_meet_at_their_domain(spark):
+    urls = ["http://a.x.net/es/1", "http://a.x.net/1", "http://a.x.net/2", "http://b.x.net/1", "http://c.y.net/1", "http://z.com/1"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in U.judged(pages).collect()}
+    assert got == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
