@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.alignment import op12_alignment
 from skyledger.llm.byte_pairs import op10_byte_pairs
 from skyledger.llm.decontaminate import op1_decontaminate
 from skyledger.llm.jaccard_join import op9_jaccard_join
@@ -14,6 +15,7 @@ from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
 from skyledger.llm.quality_classifier import op2_quality_classifier
 from skyledger.llm.token_counts import op6_token_counts
+from skyledger.llm.toxicity import op13_toxicity
 from skyledger.llm.url_trust import op5_url_trust
 from skyledger.llm.warc import op4_warc
 
@@ -28,6 +30,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_byte_pairs": op10_byte_pairs,
+    "op12_alignment": op12_alignment,
+    "op13_toxicity": op13_toxicity,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express the operator.
