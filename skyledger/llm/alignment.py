@@ -206,6 +206,7 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
 def counted(found: DataFrame) -> DataFrame:
     """(pair, n) over all rows of ``aligned``; each task adds up its own pairs first, some millions at a
     time."""
+    most = HELD
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
@@ -220,10 +221,10 @@ def counted(found: DataFrame) -> DataFrame:
             keys.append(packed(batch, "pairs"))
             counts.append(packed(batch, "times"))
             held += len(keys[-1])
-            if held > HELD:
+            if held > most:
                 own, total = added(keys, counts)
                 keys, counts, held = [own], [total], len(own)
-                if held > HELD // 2:
+                if held > most // 2:
                     yield from summed()
                     keys, counts, held = [], [], 0
         if keys:

@@ -10,6 +10,7 @@ from skyledger.llm.alignment import op12_alignment
 from skyledger.llm.byte_pairs import op10_byte_pairs
 from skyledger.llm.decontaminate import op1_decontaminate
 from skyledger.llm.jaccard_join import op9_jaccard_join
+from skyledger.llm.lexical_search import op11_lexical_search
 from skyledger.llm.main_text import op8_main_text
 from skyledger.llm.perplexity import op3_perplexity
 from skyledger.llm.personal_data import op7_personal_data
@@ -30,6 +31,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_byte_pairs": op10_byte_pairs,
+    "op11_lexical_search": op11_lexical_search,
     "op12_alignment": op12_alignment,
     "op13_toxicity": op13_toxicity,
 }
@@ -80,4 +82,35 @@ SQL: dict[str, str] = {
         )
         select doc_id, len(own) as n_shingles, component_id from sets join least_ using (doc_id)
     """,
+    "op11_lexical_search": """
+        with worded as (
+            select doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\\x{80}-\\x{10FFFF}]+') as own
+            from documents
+        ), corpus as (
+            select count(*) as n_docs, sum(len(own)) as n_terms from worded where len(own) > 0
+        ), held as (
+            select doc_id, 25 + 75 * len(own) * n_docs // n_terms as m, term, count(*) as tf
+            from (select doc_id, own, unnest(own) as term from worded), corpus
+            group by doc_id, own, n_docs, n_terms, term
+        ), weighed as (
+            select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w
+            from held, corpus group by term, n_docs
+        ), asked as (
+            select item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\\x{80}-\\x{10FFFF}]+')) as term
+            from benchmark
+        ), scored as (
+            select item_id, doc_id, cast(sum(w * (1000000000 * tf // (1000 * tf + 8 * m))) as bigint) as score
+            from asked join weighed using (term) join held using (term)
+            group by item_id, doc_id
+        ), ranked as (
+            select item_id, doc_id, score,
+                   cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+            from scored where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 10
+    """,
 }
