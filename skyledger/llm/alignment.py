@@ -5,7 +5,7 @@ byte ranges overlap; linked tokens form groups, which end where both tokenizers
 labelled by pointer jumping: each token points to the farthest-right token that it overlaps, the last
 one to itself, and the pointers of all tokens of many texts are doubled at once (``to = to[to]``) until
 nothing changes, which takes the logarithm of the longest chain. Each token then points to the terminal
-token of its group.
+token of its group. Words that come again are not aligned again.
 
 A pair of ids counts as often as links of the whole corpus hold it. Texts are encoded once; the pairs of
 each text are written with it, summed within tasks and then over all. Of the counted pairs, those with
@@ -20,9 +20,12 @@ named like new ones or ``row_id``.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
-from itertools import pairwise
+import re
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +42,12 @@ PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Most pairs that are sent to every task (16 bytes each).
 HEAD = 1 << 20
+#: Bytes of distinct units that a worker remembers.
+REMEMBERED = 1 << 22
+#: Units that go through the tokenizers as one text.
+TOGETHER = 256
+#: Name of the rule that leaves a text as it is, as a piece model holds it.
+UNCHANGED = b"\x08identity"
 #: Pairs that a task holds before it adds them up.
 HELD = 1 << 22
 
@@ -70,8 +79,14 @@ class Pair:
         self.bytes_b = [self.piece(i) for i in range(self.b.get_piece_size())]
         self.sizes_a = np.array([len(x) for x in self.bytes_a])
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
+        self.n_pairs = len(self.bytes_a) * len(self.bytes_b)
         self.shown_a = [f"{i}{end}" for end in ",|" for i in range(len(self.bytes_a))]
-        self.shown_b = [f"{i}{end}" for end in ",;" for i in range(len(self.bytes_b))]
+        self.shown = self.shown_a + [f"{i}{end}" for end in ",;" for i in range(len(self.bytes_b))]
+        # Whether a text may be encoded unit by unit: see Memory.
+        given = json.loads(byte_json)
+        cuts = given["normalizer"] is None and (given["pre_tokenizer"] or {}).get("use_regex", False)
+        spaced = any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.by_units = bool(cuts) and not spaced and UNCHANGED in piece_model
 
     def piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -95,6 +110,29 @@ class Pair:
             both[1].append(np.array(b, np.int64))
         return both
 
+    def encode_units(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """As ``encode``, for units: those without white space at their ends go through the tokenizers
+        together and are cut apart by their bytes."""
+        if not self.by_units:
+            return self.encode(units)
+        inner = [i for i, u in enumerate(units) if not u[0].isspace() and not u[-1].isspace()]
+        chunks = [inner[i : i + TOGETHER] for i in range(0, len(inner), TOGETHER)]
+        joined = self.encode([" ".join([units[i] for i in chunk]) for chunk in chunks])
+        out = [np.zeros(0, np.int64)] * len(units), [np.zeros(0, np.int64)] * len(units)
+        alone = sorted(set(range(len(units))) - set(inner))
+        for chunk, a, b in zip(chunks, *joined, strict=True):
+            if not len(a):  # at least one of them has no tokens
+                alone += chunk
+                continue
+            ends = np.cumsum([1 + len(units[i].encode()) for i in chunk])
+            for ids, sizes, kept in ((a, self.sizes_a, out[0]), (b, self.sizes_b, out[1])):
+                cuts = [0, *np.searchsorted(np.cumsum(sizes[ids]), ends, side="right").tolist()]
+                for i, x, y in zip(chunk, cuts[:-1], cuts[1:], strict=True):
+                    kept[i] = ids[x:y]
+        for i, a, b in zip(alone, *self.encode([units[i] for i in alone]), strict=True):
+            out[0][i], out[1][i] = a, b
+        return out
+
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """For each token, first those of A, then those of B, the number of its group's last token, which
@@ -119,14 +157,41 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(np.arange(len(ends_a)), n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def align(pair: Pair, texts: list[str | None]) -> list[pa.Array]:
-    """Columns of ``ALIGNED`` for some texts."""
-    ids_a, ids_b = pair.encode([t or "" for t in texts])
+@dataclass
+class Units:
+    """Aligned units in order: the numbers of tokens of A and B, groups and links (columns of ``sizes``),
+    the groups in decimals, and the id pairs with their times, cut at ``borders``."""
+
+    sizes: np.ndarray
+    groups: list[str]
+    pairs: np.ndarray
+    times: np.ndarray
+    borders: np.ndarray
+
+    @classmethod
+    def none(cls) -> Units:
+        empty = np.zeros(0, np.int64)
+        return cls(np.zeros((0, 4), np.int64), [], empty, empty, np.zeros(1, np.int64))
+
+    def plus(self, other: Units) -> Units:
+        return Units(
+            np.concatenate([self.sizes, other.sizes]),
+            self.groups + other.groups,
+            np.concatenate([self.pairs, other.pairs]),
+            np.concatenate([self.times, other.times]),
+            np.concatenate([self.borders, other.borders[1:] + self.borders[-1]]),
+        )
+
+
+def align(pair: Pair, texts: list[str], encode: Callable | None = None) -> Units:
+    """Each text aligned by itself; one that has no tokens has zeros."""
+    encode = encode or pair.encode
+    ids_a, ids_b = encode(texts)
     n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
     a, b = (np.concatenate([np.zeros(0, np.int64), *ids]) for ids in (ids_a, ids_b))
     if not len(a):
-        none = pa.array(np.zeros(len(texts), np.int64))
-        return [*[none] * 4, *[pa.array([x] * len(texts)) for x in ("", b"", b"")]]
+        none = np.zeros(0, np.int64)
+        return Units(np.zeros((len(texts), 4), np.int64), [""] * len(texts), none, none, np.zeros(len(texts) + 1, int))
     # The byte ranges of the texts lie end to end, and every text ends a group.
     ends_a, ends_b = np.cumsum(pair.sizes_a[a]), np.cumsum(pair.sizes_b[b])
     row_a, row_b = (np.repeat(np.arange(len(texts)), n) for n in (n_a, n_b))
@@ -142,42 +207,93 @@ def align(pair: Pair, texts: list[str | None]) -> list[pa.Array]:
     shown[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = (
         b + closes_b * len(pair.bytes_b) + len(pair.shown_a)
     )
-    strings = list(map([*pair.shown_a, *pair.shown_b].__getitem__, shown.tolist()))
+    strings = list(map(pair.shown.__getitem__, shown.tolist()))
     cuts = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
     groups = ["".join(strings[x:y])[:-1] for x, y in pairwise(cuts)]
 
     at_a, at_b = links(ends_a, ends_b)
-    n_pairs = len(pair.bytes_a) * len(pair.bytes_b)
     row = row_a[at_a]
-    key, times = np.unique(row * n_pairs + a[at_a] * len(pair.bytes_b) + b[at_b], return_counts=True)
-    cuts = np.searchsorted(key, np.arange(len(texts) + 1) * n_pairs).tolist()
-    key, times = (key % n_pairs).astype("<u4"), times.astype("<u4")
-    return [
-        pa.array(n_a),
-        pa.array(n_b),
-        pa.array(np.bincount(row_b[closing], minlength=len(texts))),
-        pa.array(np.bincount(row, minlength=len(texts))),
-        pa.array(groups, pa.string()),
-        pa.array([key[x:y].tobytes() for x, y in pairwise(cuts)], pa.binary()),
-        pa.array([times[x:y].tobytes() for x, y in pairwise(cuts)], pa.binary()),
-    ]
+    key, times = np.unique(row * pair.n_pairs + a[at_a] * len(pair.bytes_b) + b[at_b], return_counts=True)
+    n_groups, n_links = (np.bincount(x, minlength=len(texts)) for x in (row_b[closing], row))
+    borders = np.searchsorted(key, np.arange(len(texts) + 1) * pair.n_pairs)
+    return Units(np.stack([n_a, n_b, n_groups, n_links], 1), groups, key % pair.n_pairs, times, borders)
+
+
+#: A single space between two characters that are not white space ends a token of both tokenizers.
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
+
+class Memory:
+    """Aligns texts unit by unit and remembers the units. A unit starts at a single space; the pattern
+    of A takes a space to the word after it, and no piece of B has a space behind another character, so
+    a text's tokens and groups are those of its units. With other tokenizers a text is one unit."""
+
+    def __init__(self, pair: Pair) -> None:
+        self.pair, self.known, self.bytes, self.units = pair, {}, 0, Units.none()
+
+    def learn(self, new: list[str]) -> None:
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.units = self.units.plus(align(self.pair, new, self.pair.encode_units))
+
+    def columns(self, texts: list[str | None]) -> list[pa.Array]:
+        """The columns of ``ALIGNED``."""
+        cut = BETWEEN.split if self.pair.by_units else lambda t: [t]
+        own = [cut(t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(own))
+        if self.bytes > REMEMBERED:
+            self.known, self.bytes, self.units = {}, 0, Units.none()
+        numbers = list(map(self.known.get, flat))
+        if None in numbers:
+            new = list(dict.fromkeys(u for u, n in zip(flat, numbers, strict=True) if n is None))
+            self.learn(new)
+            self.bytes += sum(map(len, new))
+            numbers = list(map(self.known.get, flat))
+        found, n_texts = self.units, len(texts)
+        unit = np.array(numbers, np.int64)
+        n_units = [len(units) for units in own]
+        row = np.repeat(np.arange(n_texts), n_units)
+        # A unit without tokens leaves its whole text without.
+        lost = np.bincount(row[found.sizes[unit, 0] == 0], minlength=n_texts) > 0
+        left = ~lost[row]
+        unit, row = unit[left], row[left]
+        sizes = np.stack([np.bincount(row, found.sizes[unit, c], n_texts) for c in range(4)]).astype(np.int64)
+        shown = found.groups
+        strings = list(map(shown.__getitem__, numbers))
+        cuts = np.concatenate([[0], np.cumsum(n_units, dtype=np.int64)]).tolist()
+        groups = ["" if gone else ";".join(strings[x:y]) for (x, y), gone in zip(pairwise(cuts), lost, strict=True)]
+
+        # Each distinct unit of a text once, then its pairs.
+        key, often = np.unique(row * len(shown) + unit, return_counts=True)
+        row, unit = key // max(len(shown), 1), key % max(len(shown), 1)
+        first = found.borders[unit]
+        n = found.borders[unit + 1] - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        n_pairs = self.pair.n_pairs
+        key, back = np.unique(np.repeat(row, n) * n_pairs + found.pairs[at], return_inverse=True)
+        times = np.bincount(back, np.repeat(often, n) * found.times[at], len(key)).astype("<u4")
+        cuts = np.searchsorted(key, np.arange(n_texts + 1) * n_pairs).tolist()
+        key = (key % n_pairs).astype("<u4")
+        return [
+            *map(pa.array, sizes),
+            pa.array(groups, pa.string()),
+            pa.array([key[x:y].tobytes() for x, y in pairwise(cuts)], pa.binary()),
+            pa.array([times[x:y].tobytes() for x, y in pairwise(cuts)], pa.binary()),
+        ]
 
 
 #: ``groups`` in decimals; ``pairs`` are the distinct id pairs (A's id times the size of B, plus B's id)
 #: in order, ``times`` how often the text links each, both little-endian unsigned 32-bit integers.
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary, times binary"
 
-_pairs: dict[bytes, Pair] = {}
+_memories: dict[tuple[str, bytes], Memory] = {}
 
 
-def tokenizer_pair(sent: Broadcast) -> Pair:
-    """One pair of tokenizers for each worker and each pair of files."""
-    described = sent.value
-    key = described[1]
-    if key not in _pairs:
-        _pairs.clear()
-        _pairs[key] = Pair(*described)
-    return _pairs[key]
+def memory(sent: Broadcast) -> Memory:
+    """One memory for each worker and each pair of files, so that it serves all tasks."""
+    if sent.value not in _memories:
+        _memories.clear()
+        _memories[sent.value] = Memory(Pair(*sent.value))
+    return _memories[sent.value]
 
 
 def aligned(
@@ -187,7 +303,7 @@ def aligned(
     with open(byte_vocabulary, encoding="utf-8") as f, open(piece_vocabulary, "rb") as g:
         sent = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))
     return W.with_columns(
-        docs, text, lambda texts: align(tokenizer_pair(sent), texts.to_pylist()), ALIGNED, W.SLICE_BYTES
+        docs, text, lambda texts: memory(sent).columns(texts.to_pylist()), ALIGNED, W.SLICE_BYTES
     )
 
 

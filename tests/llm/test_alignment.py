@@ -125,6 +125,23 @@ def test_query_equals_comparing_all_tokens(spark, pair):
         assert (got[k][6] == "") == (not a)
 
 
+def test_texts_by_units_equal_whole_texts(pair):
+    assert pair.by_units
+    rng = random.Random(9)
+    parts = ["word", "Größe", "\u00a0", "\t", "\n", " ", "  ", "\x1c", "\u2003", "'s", "'", "12", "...", "▁", "\u0301", "\u200b", "\u3000", "\u1680", "\x85"]
+    texts = ["".join(rng.choices([*parts, " "], [1] * len(parts) + [8], k=rng.randint(1, 14))) for _ in range(4000)]
+    memory, whole = A.Memory(pair), A.align(pair, texts)
+    for first in range(0, len(texts), 500):
+        got = memory.columns(texts[first : first + 500])
+        assert got[4].to_pylist() == whole.groups[first : first + 500]
+        for c in range(4):
+            assert got[c].to_pylist() == whole.sizes[first : first + 500, c].tolist()
+        for i, (pairs, times) in enumerate(zip(got[5].to_pylist(), got[6].to_pylist(), strict=True), first):
+            span = slice(whole.borders[i], whole.borders[i + 1])
+            assert np.array_equal(np.frombuffer(pairs, "<u4"), whole.pairs[span])
+            assert np.array_equal(np.frombuffer(times, "<u4"), whole.times[span])
+
+
 def test_long_chains_and_lone_tokens():
     # Tokens of three bytes that never end together but at the end: one group, whatever its length.
     a = np.append(np.arange(3, 30_000, 3), 30_000)
