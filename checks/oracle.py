@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from checks.params import AS_OF, DAY, RECENT_ROWS, TTL_SECONDS
+from checks.params import AS_OF, DAY, ENTRY_TTL_SECONDS, RECENT_ROWS, TTL_SECONDS
 from checks.views import (
     COMPASS,
     DAILY_COUNT,
@@ -36,7 +36,7 @@ def ladder(x: str, name: str) -> str:
 
 
 def rnd(x: str, n: int) -> str:
-    return f"cast(round(cast({x} as decimal(18,6)), {n}) as double)"
+    return f"cast(round(cast({x} as decimal(28,12)), {n}) as double)"
 
 
 def six(x: str) -> str:
@@ -181,29 +181,7 @@ PARTS |= {
         {rnd("temp_variance_current_vs_hourly", 2)} as temperature_variance_current_vs_forecast,
         {ladder("final_avg_temp", "Temp")} as business_temperature_category
       from days where date is not null)""",
-    "trends_joined": f"""select location_id, date,
-        {rnd("d.final_avg_temp", 1)} as avg_temperature_celsius,
-        {rnd("d.final_min_temp", 1)} as min_temperature_celsius,
-        {rnd("d.final_max_temp", 1)} as max_temperature_celsius,
-        {rnd("d.avg_humidity", 0)} as avg_humidity_percent,
-        {rnd("d.avg_wind_speed", 1)} as avg_wind_speed_mps,
-        {rnd("d.avg_precipitation_probability * 100", 1)} as precipitation_probability_percent,
-        {rnd("t7", 1)} as temperature_7day_moving_avg,
-        {rnd("t30", 1)} as temperature_30day_moving_avg,
-        {rnd("h7", 0)} as humidity_7day_moving_avg, {rnd("w7", 1)} as wind_7day_moving_avg,
-        {rnd("temp_span", 1)} as daily_temperature_range, trend as temp_trend_direction,
-        {rnd("vol", 2)} as temperature_7day_volatility, d.season,
-        {rnd("season_avg", 1)} as seasonal_average_temperature,
-        {rnd("deviation", 1)} as temperature_deviation_from_seasonal_avg,
-        season_rank as temp_rank_in_season, weather_pattern, extreme_weather_indicator,
-        case when deviation > 5 then 'unusually_warm' when deviation < -5 then 'unusually_cold'
-             else 'seasonal_normal' end as temperature_anomaly,
-        case when vol > 10 then 'high_variability' when vol > 5 then 'moderate_variability'
-             else 'low_variability' end as temperature_stability
-      from days d left join rolled using (location_id, date)
-        left join ranked using (location_id, date) left join patterned using (location_id, date)
-      where date is not null""",
-    # The same in one pass: every window stays within the days of one site whose average is known.
+    # One pass: every window stays within the days of one site whose average is known.
     "windowed": """select *,
         avg(final_avg_temp) over week as t7, avg(final_avg_temp) over month as t30,
         avg(avg_humidity) over week as h7, avg(avg_wind_speed) over week as w7,
@@ -510,7 +488,8 @@ def sql() -> dict[str, str]:
         "day_night_gap": "select location_id, date, day_night_temp_difference from days",
         "weather_summary": "select * from summary",
         "weather_trends": "select * from trends",
-        "weather_trends_by_joins": "select * from trends_joined",
+        # One row per station and date: the joins give what one pass gives.
+        "weather_trends_by_joins": "select * from trends",
         "weather_alerts": """select * from trends where extreme_weather_indicator <> 'normal'""",
         # windows
         "moving_avg_7": f"""select location_id, date, {rnd("t7", 4)} as temp_7day_moving_avg,
@@ -522,6 +501,13 @@ def sql() -> dict[str, str]:
           from rolled""",
         "trend_direction": """select location_id, date, trend as temp_trend_direction
           from rolled""",
+        "site_moving_avg": f"""select location_id, date, {rnd("avg(final_avg_temp) over w", 4)}
+            as temp_7row_moving_avg
+          from known window w as (order by date nulls last, location_id
+                                  rows between 6 preceding and current row)""",
+        "site_seasonal_rank": f"""select *,
+            cast(rank() over (partition by season order by final_avg_temp desc) as int) as temp_rank_in_season
+          from (select location_id, date, season, {rnd("final_avg_temp", 4)} as final_avg_temp from known)""",
         "seasonal_avg": f"""select location_id, date, season,
             {rnd("season_avg", 4)} as seasonal_avg_temp from ranked""",
         "seasonal_deviation": f"""select location_id, date, season,
@@ -574,6 +560,14 @@ def sql() -> dict[str, str]:
         "unexpired_entries": f"""select user_id, ts, event_id, value from events
           where ts >= {AGE}
           qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
+        "entry_at": f"""with entry as (
+            select user_id, ts, max(event_id) as event_id from events
+            where event_type = 'purchase' group by user_id, ts)
+          select e.event_id, e.user_id, e.ts, if(fresh, c.event_id, null) as entry_id,
+            if(fresh, c.ts, null) as cached_at
+          from (select *, true as one from events) e
+          asof left join entry c on e.user_id = c.user_id and e.ts >= c.ts,
+          lateral (select e.ts - c.ts <= interval '{ENTRY_TTL_SECONDS}' second as fresh) f""",
         "freshness_stats": f"""select count(*) as total_entries,
             count(*) filter (newest < {AGE}) as expired_entries,
             count(*) filter (newest >= {AGE}) as valid_entries,
@@ -594,6 +588,12 @@ def sql() -> dict[str, str]:
                        ('hawaii', 18.9, 28.4, -178.3, -154.8),
                        ('puerto_rico', 17.8, 18.6, -67.3, -65.2)) r(region, s, n, w, e)
             on lat between s and n and lon between w and e""",
+        "coverage_join": """select sensor_id, lat, lon, region_id, nation_id
+          from sensor join (
+            select region_id, nation_id, south, north, west, if(west > east, 180, east) as east from region_box
+            union all
+            select region_id, nation_id, south, north, -180, east from region_box where west > east) r
+            on lat between south and north and lon between west and east""",
         # statistics and quality
         "table_stats": """with t as (
             select 'current_weather' as table_name, count(*) as records,

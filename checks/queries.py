@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as V
-from checks.params import AS_OF, DAY, RECENT_ROWS, TTL_SECONDS
+from checks.params import AS_OF, DAY, ENTRY_TTL_SECONDS, RECENT_ROWS, TTL_SECONDS
 from skyledger.functions import clock, conditions, rules, units
 from skyledger.functions.numbers import round_to
-from skyledger.operators import coverage, latest, quality, reconcile, rollup, stats, trend
+from skyledger.operators import asof, coverage, latest, ordered, quality, reconcile, regions, rollup, stats, trend
 from skyledger.plans import daily, marts, staging
 from skyledger.session import configure
 from skyledger.sources import combined, directory, documents, forecast, observation
@@ -304,6 +304,27 @@ def seasonal_rank(spark, sf_dir):
     return trend.seasonal(days(spark, sf_dir)).select(*SITE_DAY, "season", "temp_rank_in_season")
 
 
+@register
+def site_moving_avg(spark, sf_dir):
+    known = trend.known_average(days(spark, sf_dir)).select("location_id", "date", "final_avg_temp")
+    averaged = ordered.last_rows_measures(
+        known,
+        7,
+        {"temp_7row_moving_avg": F.avg("final_avg_temp")},
+        ordered.day_chunk("date"),
+        [F.asc_nulls_last("date"), F.asc("location_id")],
+    )
+    return rounded(averaged, 4, "temp_7row_moving_avg").drop("final_avg_temp")
+
+
+@register
+def site_seasonal_rank(spark, sf_dir):
+    known = trend.known_average(days(spark, sf_dir)).select("location_id", "date", "season", "final_avg_temp")
+    shown = rounded(known, 4, "final_avg_temp")
+    chunk = ordered.value_chunk("final_avg_temp", 1 / 16, descending=True)
+    return ordered.ranked(shown, chunk, [F.desc("final_avg_temp")], "temp_rank_in_season", ["season"])
+
+
 @register
 def weather_pattern(spark, sf_dir):
     label = rules.weather_pattern(F.col("final_avg_temp"), F.col("avg_precipitation_probability"))
@@ -436,6 +457,16 @@ def freshness_stats(spark, sf_dir):
     return latest.freshness_stats(events, ["user_id"], "ts", AS_OF, TTL_SECONDS)
 
 
+@register
+def entry_at(spark, sf_dir):
+    events = V.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    entries = events.filter("event_type = 'purchase'").select("user_id", "ts", "event_id")
+    joined = asof.entry_at(events, entries, ["user_id"], "ts", "ts", ENTRY_TTL_SECONDS, ["event_id"])
+    return joined.select(
+        "event_id", "user_id", "ts", F.col("entry.event_id").alias("entry_id"), F.col("entry.ts").alias("cached_at")
+    )
+
+
 # --- coverage --------------------------------------------------------------------------------
 
 
@@ -456,6 +487,11 @@ def coverage_region(spark, sf_dir):
     return coverage.coverage_region(V.view(spark, sf_dir, "station"))
 
 
+@register
+def coverage_join(spark, sf_dir):
+    return regions.coverage_join(V.view(spark, sf_dir, "sensor"), V.view(spark, sf_dir, "region_box"))
+
+
 # --- statistics and quality ------------------------------------------------------------------
 
 

@@ -89,6 +89,26 @@ select s_suppkey as station_id,
   cast(15 + cast((s_suppkey * 37) % 480 as double) / 8 as double) as lat,
   cast(-180 + cast((s_suppkey * 53) % 960 as double) / 8 as double) as lon
 from {supplier}""",
+    # Sensors at eighths of a degree, one for each event, and boxes of all sizes, one for each customer;
+    # every 50th crosses the 180th meridian, every 41st has an unknown edge.
+    "sensor": """
+select event_id as sensor_id,
+  case when event_id % 29 = 0 then null
+       else cast(cast((event_id * 37) % 1441 as double) / 8 - 90 as double) end as lat,
+  cast(cast((event_id * 53) % 2881 as double) / 8 - 180 as double) as lon
+from {events}""",
+    "region_box": """
+select c_custkey as region_id, c_nationkey as nation_id,
+  case when c_custkey % 41 = 0 then null else south end as south,
+  south + tall as north, west,
+  case when west + wide > 180 then west + wide - 360 else west + wide end as east
+from (select c_custkey, c_nationkey,
+        cast(cast((c_custkey * 31) % 700 as double) / 4 - 90 as double) as south,
+        case when c_custkey % 50 = 0 then cast(179 as double)
+             else cast(cast((c_custkey * 59) % 1430 as double) / 4 - 180 as double) end as west,
+        cast(case when c_custkey % 500 = 7 then 90 when c_custkey % 20 = 3 then 4 else 0.375 end as double) as tall,
+        cast(case when c_custkey % 500 = 7 then 200 when c_custkey % 20 = 3 then 3 else 1.5 end as double) as wide
+      from {customer}) c""",
     "station_report": """
 select s_suppkey as station_id,
   case when s_suppkey % 11 = 0 then null

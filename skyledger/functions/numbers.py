@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def round_to(c: Column | str, digits: int) -> Column:
-    """Round half away from zero on the decimal value (six digits are kept before rounding).
+    """Round half away from zero on the decimal value (twelve digits are kept before rounding).
 
     Binary doubles make 1.005 round either way; going through a decimal fixes the answer.
-    Values beyond the decimal's twelve whole digits are rounded as doubles.
+    Values beyond the decimal's sixteen whole digits are rounded as doubles.
     """
     c = F.col(c) if isinstance(c, str) else c
-    exact = F.round(c.try_cast("decimal(18,6)"), digits).cast("double")
+    exact = F.round(c.try_cast("decimal(28,12)"), digits).cast("double")
     return F.coalesce(exact, F.round(c.cast("double"), digits))
 
 

@@ -92,7 +92,9 @@ def hourly_rows(
     kept = _first("periods", max_periods)
     p = F.col("p")
     # Plain columns first: the derived ones below then reuse them instead of evaluating them anew.
-    plain = listed.select(*by, F.explode(kept).alias("p")).filter(
+    # Outer, as the plain explode would have the optimizer filter documents by the size of their parsed
+    # list, at the scan, and so parse them twice. The filter drops the empty period that stands for none.
+    plain = listed.select(*by, F.explode_outer(kept).alias("p")).filter(
         ~_temperature_is_broken(p) & iso_to_utc(p["startTime"]).isNotNull()
     )
     plain = plain.select(
@@ -126,10 +128,16 @@ _FOLD_ZERO = (
 )
 
 
-def _typed_period(p: Column) -> Column:
+def _opens_date(p: Column, i: Column) -> Column:
+    """Whether period i of a list in order of dates is the first of its date."""
+    return (i == 0) | (p["date"] != F.get("periods", i - 1)["date"])
+
+
+def _typed_period(p: Column, i: Column) -> Column:
     is_day = p["isDaytime"]
     return F.struct(
         iso_local_date(p["startTime"]).alias("date"),
+        i.alias("i"),
         F.when(is_day.isNull(), True)
         .otherwise(F.coalesce(F.try_variant_get(is_day, "$", "boolean"), F.lit(False)))
         .alias("is_day"),
@@ -176,20 +184,30 @@ def day_night_fold(
     docs: DataFrame, by: Sequence[str] = DEFAULT_BY, max_dates: int | None = None
 ) -> DataFrame:
     """One row per document and date (or its first ``max_dates``): the folded day/night periods."""
-    periods = F.filter(F.transform("periods", _typed_period), lambda p: p["date"].isNotNull())
+    typed = F.transform("periods", _typed_period)
+    # By date, then in document order: each date's periods are then one stretch of the list.
+    in_order = F.array_sort(F.filter(typed, lambda p: p["date"].isNotNull()))
     zero = F.struct(
         *[F.lit(None)] * 5, F.lit(False), F.lit(0.0)
     ).cast(f"struct<{_as_struct(_FOLD_ZERO)}>")
-    dates = F.sort_array(F.array_distinct(F.transform("periods", lambda p: p["date"])))
-    days = (
-        periods_of(docs, DAILY_PERIOD, by)
-        .select(*by, periods.alias("periods"))
-        .select(*by, "periods", F.explode(_first(dates, max_dates)).alias("date"))
+    listed = periods_of(docs, DAILY_PERIOD, by).select(*by, in_order.alias("periods"))
+    opens = F.filter(
+        F.transform("periods", lambda p, i: F.when(_opens_date(p, i), i + 1)), lambda i: i.isNotNull()
+    )
+    counted = listed.select(*by, "periods", opens.alias("opens"))
+    stretch = F.transform(
+        _first("opens", max_dates),
+        lambda at, i: F.struct(
+            at.alias("at"),
+            (F.coalesce(F.get("opens", i + 1), F.size("periods") + 1) - at).alias("n"),
+        ),
     )
-    folded = F.aggregate(
-        F.filter("periods", lambda p: p["date"] == F.col("date")), zero, _fold_step
+    days = counted.select(*by, "periods", F.explode(stretch).alias("s")).select(
+        *by, F.slice("periods", F.col("s.at"), F.col("s.n")).alias("own")
     )
-    return days.select(*by, "date", folded.alias("f")).select(
+    folded = F.aggregate("own", zero, _fold_step)
+    days = days.select(*by, F.get("own", F.lit(0))["date"].alias("date"), folded.alias("f"))
+    return days.select(
         *by,
         "date",
         F.col("f.temp_day").alias("temp_day"),

@@ -1,6 +1,6 @@
 """Flatteners on hand-written documents: defaults, absent against null, malformed input."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -290,3 +290,36 @@ def test_combined_documents(documents):
     assert faults == {1: "current_incomplete", **hours_broken}
     checked = {r["doc_id"]: r["reason"] for r in rows(validate_combined(docs))}
     assert checked[0] is None and checked[1] == "hourly_missing" and checked[5] == "current_missing"
+
+
+def test_a_document_of_many_dates_folds_as_one_date_each(spark, documents):
+    """200 dates in mixed order, day and night apart: the same as a document for each date."""
+    from skyledger.sources.forecast import day_night_fold
+
+    def period(day, is_day):
+        at = date(2024, 1, 1) + timedelta(days=day)
+        return {
+            "startTime": f"{at}T{'06' if is_day else '18'}:00:00-05:00", "isDaytime": is_day,
+            "temperature": 20 + day % 40 + 9 * is_day, "windSpeed": f"{day % 30} mph" if day % 3 or is_day else None,
+            "shortForecast": f"text {day} {is_day}", "probabilityOfPrecipitation": {"value": day % 100},
+        }
+
+    mixed = [(d * 77 % 200, i % 2 == 0) for i in (0, 1) for d in range(200)]
+    whole = {"properties": {"periods": [period(*p) for p in mixed]}}
+    single = [{"properties": {"periods": [period(*p) for p in mixed if p[0] == d]}} for d in range(200)]
+    columns = ["date", "temp_day", "temp_night", "wind_speed", "wind_deg", "description", "icon", "pop"]
+    got = day_night_fold(documents(whole), ("doc_id",)).select(columns).orderBy("date").collect()
+    assert len(got) == 200
+    assert got == day_night_fold(documents(*single), ("doc_id",)).select(columns).orderBy("date").collect()
+    first = day_night_fold(documents(whole), ("doc_id",), max_dates=7).select(columns).orderBy("date").collect()
+    assert first == got[:7]
+
+
+def test_no_filter_parses_documents_again(spark):
+    """A filter that holds the parse would be pushed to the scan and run it twice."""
+    from checks.queries import REGISTRY
+    from tests.conftest import SF
+
+    for name in ("ingest_hourly", "ingest_daily", "ingest_observation", "day_night_fold"):
+        plan = REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Filter" in x and ("from_json" in x or "parse_json" in x)]

@@ -182,6 +182,8 @@ def test_rounding_goes_through_decimals(spark):
     data = [1.005, 2.675, -1.005, 2.5, 1e15, None]
     assert one(spark, "DOUBLE", data, round_to("x", 2)) == [1.01, 2.68, -1.01, 2.5, 1e15, None]
     assert one(spark, "DOUBLE", [0.5, 1.5, -0.5], round_to("x", 0)) == [1.0, 2.0, -1.0]
+    # Rounded once: not to six digits first.
+    assert one(spark, "DOUBLE", [0.4499999996, 0.44999999999999996], round_to("x", 1)) == [0.4, 0.5]
 
 
 def test_coverage_boxes_and_edges(spark):
