@@ -12,12 +12,14 @@ from skyledger import DEFAULT_BY
 from skyledger.operators.latest import latest_per_key
 from skyledger.operators.quality import failing_rows, not_null_report, quality_verdict
 from skyledger.plans.daily import int_weather_summary
-from skyledger.plans.marts import weather_summary, weather_trends
+from skyledger.plans.incremental import refresh_rolling
+from skyledger.plans.marts import trends_of, weather_summary
 from skyledger.schemas import RAW_TABLES, TIME_KEY
 from skyledger.sources.documents import split_valid
 from skyledger.sources.forecast import daily_rows, hourly_rows
 from skyledger.sources.observation import observation_rows
-from skyledger.sources.tables import append_raw, read_raw, rebuild_table, replace_days, write_batch
+from skyledger.sources.tables import append_raw, read_raw, rebuild_table, write_batch
+from skyledger.sources.versions import publish, read_table
 
 FLATTENERS = {
     "current": ("current_weather", observation_rows),
@@ -67,22 +69,20 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Build the reconciled days from the raw tables, and both marts from the stored days.
 
-    With ``since`` or ``until`` only those days are read and replaced; the marts, which are day
-    grain, are then made from all stored days. The days are written once and read back: a lost
-    executor costs no recomputation of the rollups.
+    The days are written once and read back: a lost executor costs no recomputation of the rollups. With
+    ``since`` or ``until`` only those days are read from the raw tables and replaced, in the daily summary
+    too; the rolling windows are brought up to date with the rows around those days, and the trend mart,
+    whose seasons span all years, is made from the stored windows. All tables are published in versions.
     """
-    feeds = [newest(spark, root, t, by, since=since, until=until) for t in RAW_TABLES]
-    days = int_weather_summary(*feeds, by).withColumn("event_date", F.col("date"))
-    place = f"{root}/int_weather_summary"
-    if since is None and until is None:
-        rebuild_table(days.hint("rebalance", "event_date"), place, ["event_date"])
-    else:
-        replace_days(days, place)
-    stored = spark.read.parquet(place).drop("event_date")
-    rebuild_table(weather_summary(stored, by, run_ts), f"{root}/weather_summary")
-    rebuild_table(weather_trends(stored, by, run_ts), f"{root}/weather_trends")
-    marts = {n: spark.read.parquet(f"{root}/{n}") for n in ("weather_summary", "weather_trends")}
-    return {"int_weather_summary": stored} | marts
+    place = {n: f"{root}/{n}" for n in ("int_weather_summary", "weather_summary", "rolling_days", "weather_trends")}
+    some = {"since": since, "until": until}
+    feeds = [newest(spark, root, t, by, **some) for t in RAW_TABLES]
+    publish(int_weather_summary(*feeds, by), place["int_weather_summary"], **some)
+    changed = read_table(spark, place["int_weather_summary"], **some)
+    publish(weather_summary(changed, by, run_ts), place["weather_summary"], **some)
+    refresh_rolling(spark, place["int_weather_summary"], place["rolling_days"], since, until, by)
+    publish(trends_of(read_table(spark, place["rolling_days"]), by, run_ts), place["weather_trends"])
+    return {n: read_table(spark, path) for n, path in place.items()}
 
 
 def check_quality(spark: SparkSession, root: str) -> dict[str, DataFrame]:

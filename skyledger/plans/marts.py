@@ -85,14 +85,9 @@ def _percent(c: str) -> Column:
     return round_to(F.col(c) * 100, 1)
 
 
-_TREND_MEASURES = (
-    "temp_7day_moving_avg",
-    "temp_30day_moving_avg",
-    "humidity_7day_moving_avg",
-    "wind_7day_moving_avg",
-    "temp_7day_volatility",
-    "temp_trend_direction",
-)
+# Rows of the longest window.
+LONGEST_WINDOW = 30
+
 _SEASON_MEASURES = (
     "seasonal_avg_temp",
     "temp_deviation_from_seasonal_avg",
@@ -111,30 +106,39 @@ def weather_trends(
     partitions lie inside it. Needs one row per station and date; with repeated dates use
     :func:`weather_trends_by_joins`, which fans out.
     """
+    return trends_of(rolled_days(days, by), by, run_ts)
+
+
+def rolled_days(days: DataFrame, by: Sequence[str] = DEFAULT_BY) -> DataFrame:
+    """The reconciled days with ``has_avg`` and the columns over the last rows of a station."""
     flagged = days.withColumn("has_avg", F.col("final_avg_temp").isNotNull())
     site = (*by, "has_avg")
     temp = F.col("final_avg_temp")
-    ordered, week, month = by_date(site), last_rows(7, site), last_rows(30, site)
-    whole = Window.partitionBy(*site, "season")
-    dated = flagged.select(
-        "*",
-        F.avg(temp).over(week).alias("temp_7day_moving_avg"),
-        F.avg(temp).over(month).alias("temp_30day_moving_avg"),
-        F.avg("avg_humidity").over(week).alias("humidity_7day_moving_avg"),
-        F.avg("avg_wind_speed").over(week).alias("wind_7day_moving_avg"),
-        F.stddev_samp(temp).over(week).alias("temp_7day_volatility"),
-        direction(temp, ordered).alias("temp_trend_direction"),
-    )
+    ordered, week, month = by_date(site), last_rows(7, site), last_rows(LONGEST_WINDOW, site)
+    measures = {
+        "temp_7day_moving_avg": F.avg(temp).over(week),
+        "temp_30day_moving_avg": F.avg(temp).over(month),
+        "humidity_7day_moving_avg": F.avg("avg_humidity").over(week),
+        "wind_7day_moving_avg": F.avg("avg_wind_speed").over(week),
+        "temp_7day_volatility": F.stddev_samp(temp).over(week),
+        "temp_trend_direction": direction(temp, ordered),
+    }
+    return flagged.withColumns({name: F.when(F.col("has_avg"), c) for name, c in measures.items()})
+
+
+def trends_of(
+    dated: DataFrame, by: Sequence[str] = DEFAULT_BY, run_ts: datetime | None = None
+) -> DataFrame:
+    """The trend mart from days that have their rolling columns (:func:`rolled_days`)."""
+    temp = F.col("final_avg_temp")
+    whole = Window.partitionBy(*by, "has_avg", "season")
     # The rank first: its sort serves the average, which then needs none of its own.
     ranked = dated.withColumn("temp_rank_in_season", F.rank().over(whole.orderBy(temp.desc_nulls_last())))
     seasoned = ranked.withColumn("seasonal_avg_temp", F.avg(temp).over(whole)).withColumn(
         "temp_deviation_from_seasonal_avg", temp - F.col("seasonal_avg_temp")
     )
     masked = seasoned.withColumns(
-        {
-            name: F.when(F.col("has_avg"), F.col(name))
-            for name in (*_TREND_MEASURES, *_SEASON_MEASURES)
-        }
+        {name: F.when(F.col("has_avg"), F.col(name)) for name in _SEASON_MEASURES}
     ).withColumns(
         {
             "daily_temp_range": F.when(

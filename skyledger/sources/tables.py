@@ -86,7 +86,8 @@ def _sort_time(table: str) -> list[str]:
 
 
 def rebuild_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
-    """Replace a derived table once the new one is complete; a failed run leaves the old one.
+    """Replace a small report table once the new one is complete; a failed run leaves the old one. Tables
+    that must be readable at every moment are published in versions.
 
     ``df`` may read from ``path``."""
     spark = df.sparkSession
@@ -97,30 +98,19 @@ def rebuild_table(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     replaced = files.exists(folder) and files.rename(folder, hadoop(old))
     if not files.rename(hadoop(fresh), folder):
+        if replaced:
+            files.rename(hadoop(old), folder)
         raise OSError(f"could not put {fresh} in place of {path}")
     if replaced:
         files.delete(hadoop(old), True)
 
 
-def replace_days(df: DataFrame, path: str) -> None:
-    """Replace only the days (``event_date``) that ``df`` holds."""
-    rows = df.hint("rebalance", "event_date").sortWithinPartitions("event_date")
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("event_date").parquet(path)
-
-
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Register a lazy view and return the frame."""
     df.createOrReplaceTempView(name)
     return df
 
 
-def register_raw(spark: SparkSession, root: str) -> None:
-    """Register the raw tables under their names, for ad hoc SQL."""
-    for table in RAW_TABLES:
-        as_view(read_raw(spark, root, table), table)
-
-
 def adhoc(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """Run SQL over registered tables or over frames given as ``{name}``; the result stays lazy."""
     return spark.sql(query, **frames)

@@ -19,6 +19,7 @@ from skyledger.plans import marts
 from skyledger.plans.daily import int_weather_summary
 from skyledger.plans.staging import stg_current_weather
 from skyledger.sources.tables import adhoc, append_raw, as_view, read_raw
+from skyledger.sources.versions import read_table
 from tests.conftest import SF, rows
 
 CURRENT = (
@@ -234,13 +235,13 @@ def test_batch_job_end_to_end(spark, tmp_path):
         land(again, kind, "1.json", {"properties": {}})
     run(spark, arguments(["ingest", "--landed", str(again), "--root", root]))
     run(spark, arguments(["marts", "--root", root]))
-    (day,) = spark.read.parquet(f"{root}/int_weather_summary").collect()
+    (day,) = read_table(spark, f"{root}/int_weather_summary").collect()
     assert (day.location_id, day.date) == ("A", date(2024, 1, 15))
     assert (day.readings_count, day.hourly_readings_count) == (1, 24)
     assert day.forecast_temp_max == pytest.approx(15.0) and day.final_avg_temp == 5.0
-    (summary,) = spark.read.parquet(f"{root}/weather_summary").collect()
+    (summary,) = read_table(spark, f"{root}/weather_summary").collect()
     assert summary.business_temperature_category == "Cold" and summary.last_updated_at is not None
-    (trend,) = spark.read.parquet(f"{root}/weather_trends").collect()
+    (trend,) = read_table(spark, f"{root}/weather_trends").collect()
     assert trend.temp_trend_direction == "stable" and trend.temperature_7day_volatility is None
     reasons = {
         r.reason for k in ("current", "hourly")
@@ -250,7 +251,7 @@ def test_batch_job_end_to_end(spark, tmp_path):
 
 
 def counted(spark, root):
-    (day,) = spark.read.parquet(f"{root}/int_weather_summary").filter("date = '2023-04-02'").collect()
+    (day,) = read_table(spark, f"{root}/int_weather_summary").filter("date = '2023-04-02'").collect()
     return day.readings_count, day.hourly_readings_count
 
 
@@ -272,20 +273,20 @@ def test_repeats_and_reruns_count_once_and_days_are_replaced_alone(spark, tmp_pa
     run(spark, arguments(["marts", "--root", root]))
     assert counted(spark, root) == (1, 6)
     assert read_raw(spark, root, "current_weather").count() == 3
-    assert spark.read.parquet(f"{root}/int_weather_summary").first().avg_temp == 14.0
+    assert read_table(spark, f"{root}/int_weather_summary").first().avg_temp == 14.0
 
     # A new day touches its own partition only, and gives what a full rebuild gives.
-    old = glob.glob(f"{root}/int_weather_summary/event_date=2023-04-02/*.parquet")
+    old = glob.glob(f"{root}/int_weather_summary/data/*/event_date=2023-04-02/*.parquet")
     seen = {"timestamp": "2023-04-03T09:00:00Z", "temperature": {"value": 2.0}}
     land(landed, "current", "4.json", {"properties": seen})
     run(spark, arguments(["ingest", "--landed", str(landed), "--root", root]))
     run(spark, arguments(["marts", "--root", root, "--since", "2023-04-03"]))
-    assert old == glob.glob(f"{root}/int_weather_summary/event_date=2023-04-02/*.parquet")
-    days = lambda: sorted(map(str, spark.read.parquet(f"{root}/int_weather_summary").collect()))
+    assert old == glob.glob(f"{root}/int_weather_summary/data/*/event_date=2023-04-02/*.parquet")
+    days = lambda: sorted(map(str, read_table(spark, f"{root}/int_weather_summary").collect()))
     step = days()
     run(spark, arguments(["marts", "--root", root]))
     assert step == days() and len(step) == 2
-    assert spark.read.parquet(f"{root}/weather_trends").count() == 2
+    assert read_table(spark, f"{root}/weather_trends").count() == 2
 
     run(spark, arguments(["quality", "--root", root]))
     report = {r.table_name: r.status for r in spark.read.parquet(f"{root}/quality/report").collect()}
