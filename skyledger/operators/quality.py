@@ -128,10 +128,70 @@ def quality_verdict(current: DataFrame, hourly: DataFrame, daily: DataFrame) ->
     # Three one-row frames become one row by stacking them and taking the value each column has.
     stacked = _stack([c, h, d])
     side = stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
-    passed = (
+    return side.withColumn("quality_passed", _passed())
+
+
+def _passed() -> Column:
+    return (
         ((F.col("current_rows") == 0)
          | (F.col("temp_complete") & F.col("temp_reasonable") & F.col("humidity_valid")))
         & ((F.col("hourly_rows") == 0) | (F.col("hourly_enough") & F.col("pop_valid")))
         & ((F.col("daily_rows") == 0) | (F.col("daily_enough") & F.col("temp_order_valid")))
     )
-    return side.withColumn("quality_passed", passed)
+
+
+# --- the same from figures taken while rows are written ---------------------------------------
+
+_MEANS = {"current_weather": ("temp", "humidity", "pressure"), "hourly_weather": ("pop",), "daily_weather": ()}
+
+
+def observed_metrics(table: str, time: str) -> dict[str, Column]:
+    """Counts and sums of a raw table's rows that the report and the verdict follow from. They add up over
+    batches, and they can be observed on the plan that writes the rows: no scan of their own."""
+    out = {"rows": F.count("*"), "no_time": F.count_if(F.col(time).isNull())}
+    for c in _MEANS[table]:
+        out |= {f"{c}_n": F.count(c), f"{c}_sum": F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0))}
+    if table == "daily_weather":
+        low, high = F.col("temp_min"), F.col("temp_max")
+        out |= {"pairs": F.count_if(low.isNotNull() & high.isNotNull()), "ordered": F.count_if(high >= low)}
+    return out
+
+
+def _total(table: str, metric: str) -> Column:
+    mine = (F.col("table_name") == table) & (F.col("metric") == metric)
+    return F.coalesce(F.sum(F.when(mine, F.col("value"))), F.lit(0.0))
+
+
+def metrics_report(metrics: DataFrame, times: Mapping[str, str]) -> DataFrame:
+    """:func:`not_null_report` from stored figures (table_name, metric, value); tables that never were
+    written are left out."""
+    failing = F.sum(F.when(F.col("metric") == "no_time", F.col("value"))).cast("long")
+    column = F.create_map(*[F.lit(x) for pair in times.items() for x in pair])[F.col("table_name")]
+    sums = metrics.groupBy("table_name").agg(failing.alias("failing_rows"))
+    return sums.select("table_name", column.alias("column_name"), "failing_rows", severity(F.col("failing_rows")).alias("status"))
+
+
+def metrics_verdict(metrics: DataFrame) -> DataFrame:
+    """:func:`quality_verdict` from stored figures (table_name, metric, value)."""
+
+    def mean(table: str, c: str) -> Column:
+        n = _total(table, f"{c}_n")
+        return F.when(n > 0, _total(table, f"{c}_sum") / n).otherwise(0.0)
+
+    rows = _total("current_weather", "rows")
+    pairs = _total("daily_weather", "pairs")
+    hourly = _total("hourly_weather", "rows")
+    side = metrics.agg(
+        rows.cast("long").alias("current_rows"),
+        (_total("current_weather", "temp_n") / F.nullif(rows, F.lit(0.0)) > 0.8).alias("temp_complete"),
+        mean("current_weather", "temp").between(-40, 45).alias("temp_reasonable"),
+        mean("current_weather", "humidity").between(0, 100).alias("humidity_valid"),
+        mean("current_weather", "pressure").between(900, 1100).alias("pressure_valid"),
+        hourly.cast("long").alias("hourly_rows"),
+        (hourly >= 12).alias("hourly_enough"),
+        mean("hourly_weather", "pop").between(0, 1).alias("pop_valid"),
+        pairs.cast("long").alias("daily_rows"),
+        (pairs >= 3).alias("daily_enough"),
+        (_total("daily_weather", "ordered") == pairs).alias("temp_order_valid"),
+    )
+    return side.withColumn("quality_passed", _passed())

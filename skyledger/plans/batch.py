@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -10,7 +11,14 @@ from pyspark.sql import functions as F
 
 from skyledger import DEFAULT_BY
 from skyledger.operators.latest import latest_per_key
-from skyledger.operators.quality import failing_rows, not_null_report, quality_verdict
+from skyledger.operators.quality import (
+    failing_rows,
+    metrics_report,
+    metrics_verdict,
+    not_null_report,
+    observed_metrics,
+    quality_verdict,
+)
 from skyledger.plans.daily import int_weather_summary
 from skyledger.plans.incremental import refresh_rolling
 from skyledger.plans.marts import trends_of, weather_summary
@@ -38,14 +46,20 @@ def ingest(
     """Append one kind of documents to its raw table; misshapen ones go to a quarantine table.
 
     The documents are listed and read once for both. The flatteners skip misshapen documents by
-    themselves. A named ``batch`` can be run again and gives the same tables.
+    themselves. A named ``batch`` can be run again and gives the same tables. The figures that the
+    quality report needs are taken while the rows are written, and stored with the batch.
     """
     table, flatten = FLATTENERS[kind]
+    spark, batch = docs.sparkSession, batch or uuid.uuid4().hex
     docs = docs.persist()
-    append_raw(flatten(docs, (*by, ARRIVAL)), root, table, by, extra=(ARRIVAL,), batch=batch)
+    observed = observed_metrics(table, TIME_KEY[table])
+    figures = append_raw(flatten(docs, (*by, ARRIVAL)), root, table, by, (ARRIVAL,), batch, observed)
     _, bad = split_valid(docs, kind)
     write_batch(bad, f"{root}/quarantine/{kind}", batch)
     docs.unpersist()
+    figures = [(table, name, float(value)) for name, value in figures.items()]
+    rows = spark.createDataFrame(figures, "table_name string, metric string, value double")
+    write_batch(rows.coalesce(1), f"{root}/quality/metrics/of={table}", batch)
 
 
 def newest(spark: SparkSession, root: str, table: str, by: Sequence[str], **days) -> DataFrame:
@@ -100,3 +114,10 @@ def check_quality(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for name, df in results.items():
         rebuild_table(df, f"{root}/quality/{name}")
     return {name: spark.read.parquet(f"{root}/quality/{name}") for name in results}
+
+
+def quality_of_ingests(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Report and verdict as :func:`check_quality` has them, from the figures stored by ``ingest``: a few
+    rows for each batch are read, no raw table."""
+    metrics = spark.read.parquet(f"{root}/quality/metrics").select("table_name", "metric", "value")
+    return {"report": metrics_report(metrics, TIME_KEY), "verdict": metrics_verdict(metrics)}

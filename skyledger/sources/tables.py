@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +54,10 @@ def append_raw(
     by: Sequence[str] = DEFAULT_BY,
     extra: Sequence[str] = (),
     batch: str | None = None,
-) -> None:
-    """Append rows to a raw table, laid out for time and station filters.
+    observed: Mapping[str, Column] | None = None,
+) -> dict:
+    """Append rows to a raw table, laid out for time and station filters. Returns the values of the
+    ``observed`` aggregates over the rows, which are taken on the way.
 
     ``extra`` columns are stored beside the keys. Rebalancing by day gathers a day's rows into few
     files; the adaptive optimizer splits a hot day and merges small ones by their real sizes, and,
@@ -64,8 +67,20 @@ def append_raw(
     Rows of a named ``batch`` replace what a broken earlier run of the same batch has left.
     """
     rows = with_event_date(conform(df, RAW_TABLES[table], (*by, *extra)), table)
+    seen = Observation() if observed else None
+    if seen:
+        rows = rows.observe(seen, *[c.alias(name) for name, c in observed.items()])
     rows = rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", *by, *_sort_time(table))
     write_batch(rows, f"{root}/{table}", batch, "event_date")
+    if not seen:
+        return {}
+    try:
+        return seen.get
+    except Py4JJavaError:
+        # Where the plan turns out to be empty, the optimizer has dropped the aggregates with it.
+        if df.isEmpty():
+            return dict.fromkeys(observed, 0)
+        raise
 
 
 def write_batch(rows: DataFrame, path: str, batch: str | None, *parts: str) -> None:
