@@ -5,7 +5,7 @@ rule's, and the longest fitting one decides. For all other urls the host decides
 in proportion to their share of pages that a rule allows and follows links (personalised PageRank); distrust
 starts in proportion to the share of pages that a rule blocks and runs against the links, to hosts that link
 there. Each is a damped
-power iteration of joins and sums over one table of host edges. A host whose distrust is at least
+power iteration of joins and sums over one table of host edges, run until it is settled. A host whose distrust is at least
 ``THRESHOLD`` of its trust and distrust together is blocked; a host that neither reaches is allowed.
 
 Host edges are the absolute links of a page to another host, and an edge both ways between a host and
@@ -19,6 +19,8 @@ Without seeds nothing is blocked by the method. Extra columns are ignored.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,9 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-ROUNDS = 12
-ROUNDS_PER_WRITE = 4
+#: Trust and distrust are settled when a round moves less than this share of either.
+TOLERANCE = 1e-6
+ROUNDS_PER_WRITE = 6
 DAMPING = 0.85
 THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -93,12 +96,17 @@ def flows(edges: DataFrame) -> DataFrame:
     )
 
 
-def spread(hosts: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, distrust after the given rounds; ``hosts`` has trust_seed and distrust_seed."""
+def spread(hosts: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """host, trust, distrust when settled; ``hosts`` has trust_seed and distrust_seed of sum one (or 0).
+
+    A round moves at most ``DAMPING`` of what the round before moved, so the rounds are bounded by the
+    tolerance and not by the size or the depth of the graph; what is still to come then is below
+    DAMPING / (1 - DAMPING) times the tolerance, over all hosts together.
+    """
     shares = staged(flows(edges), "flows")
     nodes = staged(hosts.select("host", "trust_seed", "distrust_seed"), "seeds")
     state = nodes.select("host", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust"))
-    for k in range(1, rounds + 1):
+    for k in count(1):
         got = (
             shares.join(state, F.col("giver") == F.col("host"))
             .groupBy("taker")
@@ -110,12 +118,16 @@ def spread(hosts: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFram
         next_ = lambda kind: (
             (1 - DAMPING) * F.col(f"{kind}_seed") + DAMPING * F.coalesce(f"{kind}_in", F.lit(0.0))
         ).alias(kind)
-        state = nodes.join(got, F.col("host") == F.col("taker"), "left").select(
+        before, state = state, nodes.join(got, F.col("host") == F.col("taker"), "left").select(
             "host", next_("trust"), next_("distrust")
         )
         if k % ROUNDS_PER_WRITE == 0:
-            state = staged(state, "spread")
-    return state
+            last = before.toDF("was", "trust_was", "distrust_was")
+            both = staged(state.join(last, F.col("host") == F.col("was")), "spread")
+            state = both.select("host", "trust", "distrust")
+            moved = both.agg(*(F.sum(F.abs(F.col(c) - F.col(f"{c}_was"))) for c in ("trust", "distrust"))).first()
+            if max(m or 0.0 for m in moved) <= tolerance:
+                return state
 
 
 def host_trust(pages: DataFrame, ruled: DataFrame) -> DataFrame:

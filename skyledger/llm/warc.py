@@ -6,7 +6,8 @@ record; the others become revisit records, which name it and keep only their pro
 payloads are found by digest with a pre-aggregated group per digest, so that a payload of many pages meets
 in no single task. A task writes to a name of its own attempt and renames when the file is complete.
 
-``read`` goes through each archive from its start: a member is decompressed piece by piece, its record
+``read`` streams each archive of a folder from its start, whatever its size: a task holds one piece of it
+and one record. A member is decompressed piece by piece, its record
 framed by the content length, and block and payload digests are verified.
 
 Edge cases: a NULL payload is the empty one; a NULL url has no target header and comes back NULL; a NULL
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import os
 import uuid
 import zlib
@@ -92,7 +94,9 @@ def planned(pages: DataFrame) -> DataFrame:
     # The digests are 1:1 with payloads; only those of two or more rows leave the aggregation.
     groups = own.filter(big).groupBy(F.col("sha1").alias("equal"))
     groups = groups.agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
-    joined = own.join(groups, big & (F.col("sha1") == F.col("equal")), "left")
+    # Small payloads match nothing; keys of their own spread them over the tasks.
+    key = F.when(big, F.col("sha1")).otherwise(F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string")))
+    joined = own.withColumn("key", key).join(groups, F.col("key") == F.col("equal"), "left")
     revisit = F.col("equal").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     return joined.select("page_id", "url", "payload", "sha1", "refers_to", revisit.alias("revisit"))
 
@@ -124,16 +128,17 @@ def write(pages: DataFrame, folder: str, level: int = LEVEL, date: str = DATE) -
     return staged(planned(pages).mapInArrow(write_part, "file string, records long, bytes long"), "archives")
 
 
-def members(data) -> Iterator[tuple[bytes, bool]]:
-    """Contents of the gzip members in order, and whether each one is complete."""
-    view, at = memoryview(data), 0
-    while at < len(view):
+def members(archive) -> Iterator[tuple[bytes, bool]]:
+    """Contents of the gzip members in order, and whether each one is complete. ``archive`` is bytes or
+    an open file, which is read forward only and of which at most ``CHUNK`` bytes are held."""
+    stream = archive if hasattr(archive, "read") else io.BytesIO(archive)
+    chunk = stream.read(CHUNK)
+    while chunk:
         unpacker, pieces = zlib.decompressobj(31), []
         try:
-            while at < len(view) and not unpacker.eof:
-                chunk = view[at : at + CHUNK]
+            while chunk and not unpacker.eof:
                 pieces.append(unpacker.decompress(chunk))
-                at += len(chunk) - len(unpacker.unused_data)
+                chunk = unpacker.unused_data or stream.read(CHUNK)
         except zlib.error:
             yield b"".join(pieces), False
             return
@@ -185,15 +190,17 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     names = [f.split()[0] for f in fields.split(", ")]
 
     def read_all(batches):
+        store, root = pa.fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for content in batch.column(0):
+            for name in batch.column(0).to_pylist():
                 rows, size = [], 0
-                for data, complete in members(content.as_buffer()):
-                    rows.append(parsed(data, complete))
-                    size += len(data)
-                    if size >= 4 * W.SLICE_BYTES:
-                        yield as_batch(rows)
-                        rows, size = [], 0
+                with store.open_input_stream(f"{root}/{name}", compression=None) as archive:
+                    for data, complete in members(archive):
+                        rows.append(parsed(data, complete))
+                        size += len(data)
+                        if size >= 4 * W.SLICE_BYTES:
+                            yield as_batch(rows)
+                            rows, size = [], 0
                 if rows:
                     yield as_batch(rows)
 
@@ -201,14 +208,16 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
         arrays = [pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=False)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
+    # Only names are read here, so that Spark deals the archives to tasks by their sizes.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(read_all, fields)
+    return files.select(F.element_at(F.split("path", "/"), -1)).mapInArrow(read_all, fields)
 
 
 def op4_warc(spark, sf_dir: str) -> DataFrame:
     """Archive every page and read the archives back."""
     folder = shared_path(spark, "warc")
-    write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder if "://" in folder else "file://" + os.path.abspath(folder))
+    folder = folder if "://" in folder else "file://" + os.path.abspath(folder.removeprefix("file:"))
+    write(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read(spark, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
     )

@@ -39,7 +39,7 @@ def test_spread_equals_plain_iteration(spark):
     trust = {h: float(h == "t") for h in hosts}
     distrust = {h: float(h == "bad") for h in hosts}
     seeds = dict(trust), dict(distrust)
-    for _ in range(U.ROUNDS):
+    for _ in range(200):
         new = {h: 0.15 * seeds[0][h] for h in hosts}, {h: 0.15 * seeds[1][h] for h in hosts}
         for (s, t), n in count.items():
             new[0][t] += 0.85 * trust[s] * n / sum(m for (a, _), m in count.items() if a == s)
@@ -64,3 +64,38 @@ def test_partly_blocked_hosts_seed_and_sites_meet_at_their_domain(spark):
     pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
     got = {r.page_id: r.verdict for r in U.judged(pages).collect()}
     assert got == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    """Thirty hosts, each linking to the next; the last one is blocked by a rule."""
+    pages = [(f"h{i}.org", f'<a href="http://h{i + 1}.org/">' * (1 + i % 2)) for i in range(30)] + [("h30.org", None)]
+    rows = [(i, f"http://{h}/no", p) for i, (h, p) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r for r in U.judged(df, (("block", "h30.org", "/no"),)).collect()}
+    for i in range(30):
+        assert abs(got[f"h{i}.org"].distrust - 0.15 * 0.85 ** (30 - i)) < 1e-9
+        assert (got[f"h{i}.org"].rule, got[f"h{i}.org"].verdict) == (None, "block")
+
+
+def test_cycles_settle_within_the_tolerance(spark):
+    hosts = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0), ("c", 0.0, 0.0)], "host string, trust_seed double, distrust_seed double")
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 3), ("c", "a", 2), ("c", "b", 2)], "source string, target string, n long")
+    got = {r.host: (r.trust, r.distrust) for r in U.spread(hosts, edges).collect()}
+    trust, distrust = {"a": 1.0, "b": 0.0, "c": 0.0}, {"a": 0.0, "b": 1.0, "c": 0.0}
+    for _ in range(400):
+        trust = {
+            "a": 0.15 + 0.85 * trust["c"] / 2, "b": 0.85 * (trust["a"] + trust["c"] / 2), "c": 0.85 * trust["b"],
+        }
+        distrust = {
+            "a": 0.85 * distrust["b"] / 3, "b": 0.15 + 0.85 * distrust["c"],
+            "c": 0.85 * (distrust["b"] * 2 / 3 + distrust["a"]),
+        }
+    for h in "abc":
+        assert abs(got[h][0] - trust[h]) + abs(got[h][1] - distrust[h]) < 2 * U.TOLERANCE * 0.85 / 0.15
+
+
+def test_long_and_repeated_pages(spark):
+    long = '<a href="//b.org/">' + "x" * 3_000_000 + '<a href="//c.org/">'
+    rows = [(1, "http://a.org/", long)] * 3 + [(2, "http://b.org/no", "")]
+    got = U.judged(spark.createDataFrame(rows, "page_id long, url string, html string"), (("block", "b.org", "/no"),))
+    assert sorted((r.page_id, r.verdict) for r in got.collect()) == [(1, "block")] * 3 + [(2, "block")]

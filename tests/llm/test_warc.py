@@ -58,3 +58,25 @@ def test_damage_is_seen(harm):
     else:
         data = warc.member(sound[0], 6) + gzip.compress(sound[1][:-4])
     assert [warc.parsed(*m)["verified"] for m in warc.members(data)] == [True, False]
+
+
+def test_archives_are_read_forward_in_pieces():
+    class Pipe:
+        """An archive of thousands of records that has no length and can't go back."""
+
+        def __init__(self, data, times):
+            self.data, self.left, self.held, self.largest = data, times, b"", 0
+
+        def read(self, n):
+            self.largest = max(self.largest, n)
+            while len(self.held) < n and self.left:
+                self.held, self.left = self.held + self.data, self.left - 1
+            out, self.held = self.held[:n], self.held[n:]
+            return out
+
+    body = bytes(range(256)) * 400
+    one = warc.member(warc.record(7, "http://a/", body, hashlib.sha1(body).digest(), None, False, warc.DATE), 0)
+    pipe, n = Pipe(one, 3000), 0
+    for data, complete in warc.members(pipe):
+        n += complete and warc.parsed(data, complete)["verified"]
+    assert n == 3000 and 3000 * len(one) > 300_000_000 and pipe.largest == warc.CHUNK
