@@ -72,3 +72,20 @@ def test_edges(spark):
         [(5, 13, 5), (5, 13, 5), (9, 13, 5), (None, 13, 5), (None, 5, None), (2, 0, 2), (1, 0, 1), (7, 1, 7)], key=str
     )
     assert J.joined(docs.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_are_one_component(spark):
+    rng = random.Random(5)
+    first, second, third = (" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(30)) for _ in range(3))
+    rows = [(5, first), (9, first), (9, second), (9, second), (7, second), (3, third), (7, ""), (4, "other words of " + third)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.joined(docs).collect())
+    assert [(i, c) for i, n, c in got if n] == [(3, 3), (4, 3), (5, 5), (7, 5), (9, 5), (9, 5), (9, 5)]
+    assert [(i, c) for i, n, c in got if not n] == [(7, 7)]
+
+
+def test_labels_settle_over_long_chains(spark):
+    n = 300  # a chain in no order of its numbers
+    order = random.Random(1).sample(range(n), n)
+    links = spark.createDataFrame([tuple(sorted(p)) for p in zip(order, order[1:])], "a long, b long")
+    assert {r.label for r in J.components(links).collect()} == {0}
