@@ -35,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near duplicates."""
     first = F.col("doc_id") == F.col("component_id")
-    ids = jaccard_join.joined(docs, NEAR).groupBy("doc_id").agg(F.max(first).alias("first"))
+    ids = jaccard_join.joined(docs, NEAR).groupBy("doc_id").agg(F.min(first).alias("first"))
     others = staged(ids.filter(~F.col("first")).select(F.col("doc_id").alias("other_id")), "duplicates")
     kept = docs.join(others, F.col("doc_id") == F.col("other_id"), "left_anti")
     return kept.dropDuplicates(["doc_id", "text"]).select(docs.columns)
