@@ -50,7 +50,7 @@ SKETCH = 1 << 22
 CHUNK = 1 << 16
 DEVIATIONS = 8
 FREQUENT = 8
-LEAST_BITS = 64
+LEAST_BITS = 512
 CELL = 512
 PIVOTS = 8
 DEPTH = 3
@@ -129,7 +129,7 @@ def frequencies(docs: DataFrame, rule: Rule) -> np.ndarray:
 def bits(shingles: np.ndarray) -> bytes:
     """Parities of the numbers of shingles in a power of two of buckets, from a half to one a shingle.
 
-    Fewer buckets only loosen the bound. Sets that share half of all their shingles still differ in over
+    Short sets take ``LEAST_BITS``: their tables cost little and are too coarse with fewer. Fewer buckets only loosen the bound. Sets that share half of all their shingles still differ in over
     0.23 bits a shingle, and the window of 0.85 is 0.16."""
     n = max(1 << max(len(shingles).bit_length() - 1, 0), LEAST_BITS)
     parity = np.bincount((shingles % np.uint64(n)).astype(np.int64), minlength=n) & 1
