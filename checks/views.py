@@ -265,7 +265,7 @@ DAILY_PERIOD = _object(
 
 def _reading(i: str, temp: str) -> dict[str, str]:
     return {
-        "dt": f"cast(1704067200 + k * 3600 + {i} * 1800 as string)",
+        "dt": f"cast(1704067200 + cast(k as bigint) * 3600 + {i} * 1800 as string)",
         **{"temp": temp},
         "feels_like": "cast(k % 60 - 22 as string)",
         "humidity": f"cast((k + {i}) % 100 as string)",
