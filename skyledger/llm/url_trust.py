@@ -36,7 +36,7 @@ RULES = (
 )
 #: Trust and distrust are settled when a round moves less than this share of either.
 TOLERANCE = 1e-6
-ROUNDS_PER_WRITE = 6
+ROUNDS_PER_LOOK = 6
 DAMPING = 0.85
 THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -97,37 +97,31 @@ def flows(edges: DataFrame) -> DataFrame:
 
 
 def spread(hosts: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """host, trust, distrust when settled; ``hosts`` has trust_seed and distrust_seed of sum one (or 0).
+    """host, trust, distrust when settled; ``hosts`` has trust_seed and distrust_seed of sum one (or 0), and
+    every end of an edge.
 
     A round moves at most ``DAMPING`` of what the round before moved, so the rounds are bounded by the
     tolerance and not by the size or the depth of the graph; what is still to come then is below
-    DAMPING / (1 - DAMPING) times the tolerance, over all hosts together.
+    DAMPING / (1 - DAMPING) times the tolerance, over all hosts together. Each round is one join and one sum,
+    written before the next: the driver holds the plan of one round, however many there are.
     """
     shares = staged(flows(edges), "flows")
     nodes = staged(hosts.select("host", "trust_seed", "distrust_seed"), "seeds")
     state = nodes.select("host", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust"))
+    kinds, none = ("trust", "distrust"), F.lit(0.0)
+    seeded = nodes.select("host", *((1 - DAMPING) * F.col(f"{c}_seed") for c in kinds), none, none)
     for k in count(1):
-        got = (
-            shares.join(state, F.col("giver") == F.col("host"))
-            .groupBy("taker")
-            .agg(
-                F.sum(F.col("trust") * F.col("trust_share")).alias("trust_in"),
-                F.sum(F.col("distrust") * F.col("distrust_share")).alias("distrust_in"),
-            )
+        given = shares.join(state, F.col("giver") == F.col("host")).select(
+            "taker", *(DAMPING * F.col(c) * F.col(f"{c}_share") for c in kinds), none, none
         )
-        next_ = lambda kind: (
-            (1 - DAMPING) * F.col(f"{kind}_seed") + DAMPING * F.coalesce(f"{kind}_in", F.lit(0.0))
-        ).alias(kind)
-        before, state = state, nodes.join(got, F.col("host") == F.col("taker"), "left").select(
-            "host", next_("trust"), next_("distrust")
-        )
-        if k % ROUNDS_PER_WRITE == 0:
-            last = before.toDF("was", "trust_was", "distrust_was")
-            both = staged(state.join(last, F.col("host") == F.col("was")), "spread")
-            state = both.select("host", "trust", "distrust")
-            moved = both.agg(*(F.sum(F.abs(F.col(c) - F.col(f"{c}_was"))) for c in ("trust", "distrust"))).first()
+        was = state.select("host", none, none, *kinds)
+        columns = ("host", *kinds, *(f"{c}_was" for c in kinds))
+        sums = seeded.union(given).union(was).toDF(*columns).groupBy("host").agg(*(F.sum(c).alias(c) for c in columns[1:]))
+        state = staged(sums, "spread")
+        if k % ROUNDS_PER_LOOK == 0:
+            moved = state.agg(*(F.sum(F.abs(F.col(c) - F.col(f"{c}_was"))) for c in kinds)).first()
             if max(m or 0.0 for m in moved) <= tolerance:
-                return state
+                return state.select("host", *kinds)
 
 
 def host_trust(pages: DataFrame, ruled: DataFrame) -> DataFrame:
