@@ -12,8 +12,15 @@ belong together. A diagonal counts when at least half of the item's windows that
 stands for one value in the document, and each of the document's for one of the item. Items with one
 template and one pattern of equal slots are reported once; each of their open and folded forms is searched.
 
+Making the forms is dear, so it is done only for texts that can hold an item (``near``). Each searched window
+has literal words; a text whose template, open or folded form holds it has them too, as folded words, and those
+that stand side by side do so there. One run of at most ``ANCHOR`` of them is the window's anchor, and a text
+without any anchor matches nothing. Of an item's n windows of which m must match, the best n - m + 1 are asked
+for. Only the open form has literal words that are no folded words: runs of names that end in a word like
+"U.S."; they are looked up by themselves (``glued_literals``). The filter is exact: it moves no result.
+
 Only DataFrame functions are used. The benchmark's windows are broadcast if there are at most
-``BROADCAST_WINDOWS`` of them, counted first; beyond that the join shuffles.
+``BROADCAST_WINDOWS`` of them, counted first; beyond that the join shuffles, and every text is read in all forms.
 
 Edge cases: NULL and empty texts have no words. An item shorter than a window is one window of its own
 length. An item of fewer than ``LEAST_WORDS`` words, or a window with fewer literal words than
@@ -27,7 +34,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.store import staged
@@ -36,6 +43,7 @@ WINDOW = 8
 LEAST_WORDS = 4
 LEAST_LITERALS = 3
 ENOUGH = 6
+ANCHOR = 3
 BROADCAST_WINDOWS = 1_000_000
 NUMBER, UNIT, NAME = "<0>", "<u>", "<n>"
 TEMPLATE, OPEN, FOLDED = "template", "open", "folded"
@@ -157,12 +165,76 @@ def item_windows(items: DataFrame) -> DataFrame:
     )
 
 
-def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+def needed(n_windows: Column) -> Column:
+    """How many of an item's searched windows must match."""
+    return F.least(F.ceil(n_windows / 2), F.lit(ENOUGH))
+
+
+def fold(text: Column, but: str = "") -> Column:
+    """The text without case and without all but letters, digits and ``but``."""
+    return F.lower(F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}{but}]+", ""))
+
+
+def anchors(items: DataFrame, windows: DataFrame) -> DataFrame:
+    """key, before, gram: of each run of words to look for the hash of the longest word, how many stand before
+    it, and all of them."""
+    own = windows.select("entry", "item_at", "n_windows", "size").join(items.select("entry", "template"), "entry")
+    own = own.withColumn("literals", F.transform(F.slice("template", F.col("item_at"), F.col("size")), literal))
+
+    def run(first: Column) -> Column:
+        words = F.slice("literals", first, ANCHOR)
+        end = F.coalesce(F.nullif(F.array_position(F.transform(words, lambda w: w.isNull()), True), F.lit(0)), F.size(words) + 1)
+        words = F.slice(words, 1, (end - 1).cast("int"))
+        letters = F.aggregate(words, F.lit(0), lambda n, w: n + F.length(w))
+        return F.struct(F.size(words).alias("n"), letters.alias("letters"), words.alias("gram"))
+
+    runs = F.transform(F.sequence(F.lit(1), F.size("literals")), run)
+    own = own.withColumn("best", F.array_max(runs))
+    rank = F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("best"), "item_at"))
+    own = own.withColumn("rank", rank).filter(F.col("rank") <= F.col("n_windows") - needed(F.col("n_windows")) + 1)
+    own = own.select("best.gram").distinct()
+    longest = F.array_max(F.transform("gram", lambda w, i: F.struct(F.length(w).alias("letters"), w.alias("word"), i.alias("at"))))
+    own = own.select("gram", longest.alias("longest"))
+    return own.select(F.xxhash64("longest.word").alias("key"), F.col("longest.at").alias("before"), "gram")
+
+
+def literal(word: Column) -> Column:
+    """A word of a template as folded word; NULL for a slot."""
+    return F.when(~is_slot(word), fold(word))
+
+
+def glued_literals(text: Column) -> Column:
+    """The last two words, folded, of each run of names that is one literal word of the open form: its last
+    word is no name, as in "New U.S."."""
+    name = r"\p{Lu}[\p{L}\p{M}'-]*+"
+    found = F.regexp_extract_all(
+        text, F.lit(rf"{name}\s+(?:[^\p{{L}}\p{{N}}\s]++\s+)*+{QUIET}{name}(?!{QUIET}(?!\S))\S+"), F.lit(0)
+    )
+    return F.transform(found, fold)
+
+
+def near(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFrame:
+    """The documents that hold an anchor, among them all with enough matching windows."""
+    text = F.coalesce("text", F.lit(""))
+    words = docs.select("doc_id", F.split(fold(text, r"\s"), r"\s+").alias("words"))
+    words = words.select("doc_id", "words", F.posexplode("words").alias("at", "word"))
+    asked = F.broadcast(staged(anchors(items, windows), "anchors"))
+    at = F.slice("words", F.col("at") - F.col("before") + 1, F.size("gram")) == F.col("gram")
+    hits = words.join(asked, F.xxhash64("word") == F.col("key")).filter((F.col("at") >= F.col("before")) & at)
+
+    # Words that a glued word can end with: the ends of the open form's literal words.
+    own = items.filter(F.col("form") == OPEN).select(F.explode(F.transform("template", literal)).alias("word")).distinct()
+    ends = own.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr("word", i))).alias("end"))
+    ends = F.broadcast(staged(ends.distinct(), "ends"))
+    glued_ = docs.select("doc_id", F.explode(glued_literals(text)).alias("end")).join(ends, "end")
+    ids = staged(hits.select("doc_id").union(glued_.select("doc_id")).distinct(), "near-ids")
+    ids = ids.withColumnRenamed("doc_id", "near_id")
+    return staged(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi"), "near")
+
+
+def matches(docs: DataFrame, items: DataFrame, windows: DataFrame) -> DataFrame:
     """Diagonals of documents and items with enough matching windows."""
-    windows = staged(item_windows(items), "windows")
     found = windows.groupBy("form", "size").count().collect()  # one row per form and window size
-    if sum(r["count"] for r in found) <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
     own = docs.select("doc_id", spaced(F.col("text")).alias("spaced"))
     hits = []
     for form, size in sorted((r["form"], r["size"]) for r in found):
@@ -180,7 +252,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         .distinct()
         .groupBy("doc_id", "entry", "diagonal", "n_windows")
         .agg(F.count("*").alias("n_matched"), F.max("slotted").alias("slotted"), F.collect_list("item_at").alias("at"))
-        .filter(F.col("n_matched") >= F.least(F.ceil(F.col("n_windows") / 2), F.lit(ENOUGH)))
+        .filter(F.col("n_matched") >= needed(F.col("n_windows")))
     )
 
 
@@ -212,7 +284,11 @@ def inconsistent(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFra
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_items, n_windows, n_matched: documents that hold an item or a variant of it."""
     items = staged(templates(benchmark), "templates")
-    found = staged(matches(docs, items), "diagonals")
+    windows = staged(item_windows(items), "windows")
+    if windows.count() <= BROADCAST_WINDOWS:
+        docs = near(docs.select("doc_id", "text"), items, windows)
+        windows = F.broadcast(windows)
+    found = staged(matches(docs, items, windows), "diagonals")
     if found.filter("slotted").limit(1).count():
         bad = inconsistent(docs, items, found).withColumnsRenamed({"doc_id": "d", "entry": "e", "diagonal": "g"})
         same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("entry") == F.col("e"))

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontaminate as D
@@ -101,3 +103,29 @@ def test_slot_heavy_and_short_items_are_found_as_copies(spark):
     # Fourteen words, five of seven windows slot-heavy: two are searched as templates, and both match.
     slots = items(spark, "from Al Bo Cy Di Ed Flo Gus take 1 2 then give back all")
     assert pairs(frame(spark, "from Ul Vo Wy Xi Yd Zlo Hus take 3 4 then give back all"), slots) == [(0, 100)]
+
+
+def test_only_texts_with_an_anchor_are_read_in_all_forms_and_none_is_lost(spark, monkeypatch):
+    rng = random.Random(5)
+    odd = "New U.S. Two kg 5 Foo9 - O'Neil ΑΣ Β9 <0> x<n>y don't (Ann) Bob, 3.5 the of red apples sold. Why? état É. Kg‿9".split()
+    odd += ["and so", "a<0", "McDonald", "sea\n", "\t!", "north", "wind", "blew", "hard", "today"]
+    texts = [[rng.choice(odd) for _ in range(rng.randint(4, 24))] for _ in range(40)]
+
+    def changed(words):
+        """The words with some values, and some cases and signs, replaced."""
+        values = {"New": "Old", "Two": "six", "5": "77", "Bob,": "Tom,", "(Ann)": "(Eve)", "Foo9": "FOO9", "red": "Red"}
+        return [values.get(w, w) if rng.random() < 0.8 else w for w in words]
+
+    held = [" ".join(["so", *changed(w), "then"]) for w in texts for _ in range(3)]
+    # Only the open form's run of names that ends in no name is a word of both.
+    glued = "Bo Cy newus Al Di 7 newus Ed"
+    other = ["some other words that no item has at all, whatever they say"] * 200
+    docs = frame(spark, *held, "Jo Wy New U.S. Xi Zu 9 New U.S. Ty", *other)
+    benchmark = items(spark, *[" ".join(w) for w in texts], glued)
+    calls = []
+    near = D.near
+    monkeypatch.setattr(D, "near", lambda *args: calls.append(near(*args)) or calls[-1])
+    found = pairs(docs, benchmark)
+    assert found and calls[0].count() <= len(held) + 1
+    monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
+    assert pairs(docs, benchmark) == found and len(calls) == 1
