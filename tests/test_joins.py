@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skyledger.operators import ordered
+from skyledger.operators import ordered, regions
 from skyledger.operators.asof import entry_at
 from skyledger.operators.regions import GRIDS, box_cells, coverage_join, unrolled
 from skyledger.operators.trend import rolling
@@ -119,3 +119,15 @@ def test_a_hot_key_is_spread_too(spark):
         days, 7, {"m": F.avg("temp")}, ordered.day_chunk("date"), [F.asc("date")], ["location_id"], block_rows=50
     )
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_range_join_cuts_full_cells_into_blocks(spark, monkeypatch):
+    """Boxes and points of one cell are compared in many tasks, each pair once."""
+    monkeypatch.setattr(regions, "BLOCK", 50)
+    points = spark.range(1000).selectExpr("id as point_id", "5 + id % 10 as lat", "5.0 as lon")
+    boxes = spark.range(300).selectExpr("id as region_id", "0.0 as south", "id % 20 as north", "-90.0 as west", "90.0 as east")
+    out = coverage_join(points, boxes)
+    want = sum(5 + p % 10 <= r % 20 for p in range(1000) for r in range(300))
+    assert out.count() == want == out.distinct().count()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < want / 2
