@@ -22,6 +22,7 @@ returned each. Columns named like the results are replaced; others are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm import words as W
-from skyledger.llm.store import staged
+from skyledger.llm.store import passing, staged
 
 ORDER = 4
 BITS = 6
 FENCE = 4.0
 LEAST_WIDTH = 1.0
 BIN = 1 / 64
+#: Texts are cut into words so many bytes at a time; the arrays stay in the processor's cache.
+SLICE_BYTES = 1 << 16
+#: Word grams: rounds in which they are dealt, grams that a group holds about, grams that a task packs at once, letters
+#: and white space a word, texts of which one is searched for hot words.
+ROUNDS = 3
+GROUP_GRAMS = 1 << 22
+BLOCK_GRAMS = 1 << 22
+LETTERS = 6
+HOT_TEXTS = 64
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
@@ -56,7 +66,7 @@ SIGN_BYTES[[ord(c) for c in "#*$%&|<>"]] = True
 def base_counts(texts: pa.Array) -> list[pa.Array]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text."""
     out = np.zeros((5, len(texts)), np.int64)
-    for part in W.slices(texts):
+    for part in W.slices(texts, SLICE_BYTES):
         found = W.words(part)
         own = slice(part.first, part.first + part.n)
         letters = (part.data & 0xC0) != 0x80
@@ -144,8 +154,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def discounts(count: np.ndarray) -> np.ndarray:
-    """Discounts of counts 1, 2 and 3 or more, from how many grams have counts 1 to 4; index 0 is 0."""
-    ones = [max(int((count == i).sum()), 0) for i in range(1, 5)]
+    """Discounts of counts 1, 2 and 3 or more; index 0 is 0."""
+    return discounts_of(kinds(count))
+
+
+def discounts_of(ones: list[int]) -> np.ndarray:
+    """The discounts from how many grams have counts 1 to 4."""
     y = ones[0] / (ones[0] + 2 * ones[1]) if ones[0] else 0.5
     out = [0.0]
     for i in range(1, 4):
@@ -237,22 +251,107 @@ def letter_model(docs: DataFrame) -> Model:
     return Model({name: (gram[codes == i], n[codes == i]) for i, name in enumerate(code.dictionary.to_pylist())})
 
 
-#: A word model is that of one language and one half of its texts.
-MODEL = ["language_key", "half"]
-
-
 def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def word_grams(docs: DataFrame) -> DataFrame:
-    """text_key, language_key, u, v, w, n: each text's word 3-grams, one for each word and one for its end."""
-    own = docs.select(text_key(), F.xxhash64(F.coalesce("lang", F.lit(""))), "text")
-    names = ["text_key", "language_key", "u", "v", "w", "n"]
+def language_key() -> Column:
+    return F.xxhash64(F.coalesce("lang", F.lit("")))
+
+
+@dataclass
+class Deal:
+    """How word 3-grams (u, v, w) are dealt: by v, into so many groups a round; those of ``hot`` (sorted)
+    words v, too many for one group, by u and v."""
+
+    groups: int
+    hot: np.ndarray
+
+    def bucket(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Numbers below ``ROUNDS * groups``; round r has those from r * groups on."""
+        key = v.copy()
+        hot = np.flatnonzero(np.isin(v, self.hot)) if len(self.hot) else []
+        key[hot] += W.mix(u[hot] + W.MULTIPLIERS[0])
+        return (W.mix(key + W.MULTIPLIERS[1]) % np.uint64(ROUNDS * self.groups)).astype(np.int32)
+
+
+def deal(docs: DataFrame) -> Deal:
+    """Groups by the length of all texts. Hot words are found in one text of ``HOT_TEXTS``: which words are
+    hot decides where grams are counted, never what is counted."""
+    letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    groups = max(1, -(-letters // (LETTERS * ROUNDS * GROUP_GRAMS)))
+
+    def count(batches):
+        for batch in batches:
+            for part in W.slices(batch.column(0), SLICE_BYTES):
+                word, n = np.unique(W.words(part, lower=True).hash, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    some = docs.select("text").filter(F.pmod(text_key(), F.lit(HOT_TEXTS)) == 0).mapInArrow(count, "word long, n long")
+    hot = some.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") * HOT_TEXTS > GROUP_GRAMS).select("word")
+    # At most as many words as there are groups.
+    words = [] if letters < LETTERS * GROUP_GRAMS else [r.word for r in hot.collect()]
+    return Deal(groups, np.sort(np.array(words, np.int64).view(np.uint64)))
+
+
+def packed(keys: np.ndarray, grams_: np.ndarray) -> bytes:
+    """The grams (three rows: u, v, w) of neighbouring texts: each text's key and number of grams, the words,
+    and their numbers, frequent ones first, byte by byte."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    lengths = np.diff(np.concatenate([starts, [len(keys)]]))
+    code = pa.array(grams_.ravel()).dictionary_encode()
+    word, number = code.dictionary.to_numpy(), code.indices.to_numpy()
+    order = np.argsort(-np.bincount(number), kind="stable")
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    number = rank[number]
+    planes = [((number >> 8 * j) & 255).astype(np.uint8).tobytes() for j in range(_bytes(len(word)))]
+    sizes = np.array([len(starts), len(word), len(keys)])
+    whole = b"".join([sizes.tobytes(), keys[starts].tobytes(), lengths.tobytes(), word[order].tobytes(), *planes])
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, "zstd", asbytes=True)
+
+
+def _bytes(n: int) -> int:
+    """Bytes that hold numbers below ``n``."""
+    return max(1, ((n - 1).bit_length() + 7) // 8)
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' keys and numbers of grams, the words, and three rows of their numbers."""
+    whole = pa.decompress(memoryview(block)[8:], int.from_bytes(block[:8], "little"), "zstd", asbytes=True)
+    texts, words, n = np.frombuffer(whole, np.int64, 3)
+    at = 24 + 8 * texts
+    keys, lengths = np.frombuffer(whole, np.int64, texts, 24), np.frombuffer(whole, np.int64, texts, at)
+    word = np.frombuffer(whole, np.uint64, words, at + 8 * texts)
+    planes = np.frombuffer(whole, np.uint8, offset=at + 8 * (texts + words)).reshape(_bytes(int(words)), 3 * n)
+    number = planes[0].astype(np.int32)
+    for j in range(1, len(planes)):
+        number |= planes[j].astype(np.int32) << 8 * j
+    return keys, lengths, word, number.reshape(3, n)
+
+
+def word_blocks(docs: DataFrame, dealt: Deal, number: int) -> DataFrame:
+    """language_key, bucket, block: the word 3-grams of the texts that are dealt in a round, packed; one gram
+    for each word and one for the text's end."""
+    own = docs.select(text_key(), language_key(), "text")
+
+    def blocks(held):
+        language, bucket, keys = (np.concatenate([h[i] for h in held]) for i in range(3))
+        grams_ = np.concatenate([h[3] for h in held], axis=1)
+        names, at = np.unique(language, return_inverse=True)
+        at = at * np.int64(ROUNDS * dealt.groups) + bucket
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+        for rows in np.split(order, starts[1:]) if len(order) else []:
+            block = packed(keys[rows], grams_[:, rows])
+            first = [pa.array([x[rows[0]]]) for x in (language, bucket)]
+            yield pa.RecordBatch.from_arrays([*first, pa.array([block], pa.binary())], ["language_key", "bucket", "block"])
 
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            for part in W.slices(batch.column(2)):
+            keys, language = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for part in W.slices(batch.column(2), SLICE_BYTES):
                 found = W.words(part, lower=True)
                 row = np.repeat(np.arange(part.n), found.per_row + 3)
                 ends = np.cumsum(found.per_row + 3)
@@ -260,74 +359,258 @@ def word_grams(docs: DataFrame) -> DataFrame:
                 words[np.arange(len(found.row)) + 3 * found.row + 2] = found.hash
                 words[ends - 1] = 1
                 at = np.flatnonzero(row[:-2] == row[2:])
-                key = W.mix(W.chain(words, 3)[at] + row[at].astype(np.uint64) * W.MULTIPLIERS[0])
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                at = at[first]
-                of = pa.array(row[at] + part.first)
-                grams_ = [pa.array(words[at + j].view(np.int64)) for j in range(3)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(of), batch.column(1).take(of), *grams_, pa.array(n)], names
-                )
-
-    return own.mapInArrow(run, ", ".join(f"{name} long" for name in names))
+                bucket = dealt.bucket(words[at], words[at + 1])
+                mine = bucket // dealt.groups == number
+                at, of = at[mine], row[at[mine]] + part.first
+                held.append((language[of], bucket[mine], keys[of], np.stack([words[at + j] for j in range(3)])))
+                size += len(at)
+                if size >= BLOCK_GRAMS:
+                    yield from blocks(held)
+                    held, size = [], 0
+        if held:
+            yield from blocks(held)
+
+    return own.mapInArrow(run, "language_key long, bucket int, block binary")
+
+
+def distinct(*columns: np.ndarray, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Order of the rows by the columns of numbers below ``size``, and for each leading column, with those
+    before it, whether a row in this order differs from the one above."""
+    bits = max(size - 1, 1).bit_length()
+    if bits * len(columns) < 64:
+        key = columns[0].astype(np.int64)
+        for column in columns[1:]:
+            key = key << bits | column
+        order = np.argsort(key)
+    else:
+        order = np.lexsort(columns[::-1])
+    new, out = np.zeros(len(order), bool), []
+    new[:1] = True
+    for column in columns:
+        own = column[order]
+        new = new.copy()
+        new[1:] |= own[1:] != own[:-1]
+        out.append(new)
+    return order, out
+
+
+class Counted:
+    """The counts of a group's grams, of the different words before their last two, and of the different words
+    before their last one, each in either half of the texts."""
+
+    def __init__(self, blocks: pa.ChunkedArray, hot: np.ndarray) -> None:
+        parts = [unpacked(block.as_buffer().to_pybytes()) for block in blocks]
+        self.words = np.unique(np.concatenate([p[2] for p in parts]))
+        size = len(self.words)
+        u, v, w = np.concatenate([np.searchsorted(self.words, p[2]).astype(np.int32)[p[3]] for p in parts], axis=1)
+        keys = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+        del parts
+        order, (_, context, gram) = distinct(v, u, w, size=size)
+        #: Of each occurrence, its text and its gram; of each gram, its words, context u v and pair v w.
+        self.keys = keys[order]
+        self.gram = np.cumsum(gram) - 1
+        first = order[gram]
+        self.u, self.v, self.w = u[first], v[first], w[first]
+        self.context = (np.cumsum(context) - 1)[gram]
+        del u, v, w, keys, order, context, gram, first
+        self.n = np.bincount(2 * self.gram + (self.keys & 1), minlength=2 * len(self.u)).reshape(-1, 2)
+        order, (_, new) = distinct(self.v, self.w, size=size)
+        self.pair = np.empty(len(order), np.int64)
+        self.pair[order] = np.cumsum(new) - 1
+        first = order[new]
+        self.pair_v, self.pair_w = self.v[first], self.w[first]
+        self.pair_n = np.stack([np.bincount(self.pair, self.n[:, h] > 0, len(first)) for h in (0, 1)], axis=1).astype(np.int64)
+        self.hot = np.isin(self.words, hot)[self.pair_v]
+        own = ~self.hot
+        self.word_n = np.stack(
+            [np.bincount(self.pair_w[own], self.pair_n[own, h] > 0, size) for h in (0, 1)], axis=1
+        ).astype(np.int64)
+
+
+#: Rows of what a group's counts add to the models. KINDS of grams and PAIRS: w is a count from 1 to 4, n0 and n1
+#: how many have it in each half. WORDS: how many words come before w; HOT: how many come before v w, v a hot word.
+HOT, WORDS, PAIRS, GRAMS = range(4)
+GROUP = ["language_key", "bucket"]
+
+
+def kinds(n: np.ndarray) -> list[int]:
+    return [int((n == i).sum()) for i in range(1, 5)]
+
+
+def group_counts(blocks: DataFrame, dealt: Deal) -> DataFrame:
+    """language_key, bucket, kind, v, w, n0, n1 of each group's own grams."""
+
+    def count(key, table):
+        own = Counted(table.column("block"), dealt.hot)
+        words, pairs = np.unique(own.pair_w), np.flatnonzero(own.hot)
+        four, word = np.arange(1, 5), own.words.view(np.int64)
+        rows = [
+            (GRAMS, 0 * four, four, np.array([kinds(own.n[:, h]) for h in (0, 1)]).T),
+            (PAIRS, 0 * four, four, np.array([kinds(own.pair_n[~own.hot, h]) for h in (0, 1)]).T),
+            (WORDS, 0 * words.astype(np.int64), word[words], own.word_n[words]),
+            (HOT, word[own.pair_v[pairs]], word[own.pair_w[pairs]], own.pair_n[pairs]),
+        ]
+        v, w, n = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+        kind = np.repeat(np.array([r[0] for r in rows], np.int32), [len(r[1]) for r in rows])
+        at = [pa.array([k.as_py()] * len(v), k.type) for k in key]
+        return pa.table(
+            [*at, *(pa.array(np.ascontiguousarray(x)) for x in (kind, v, w, n[:, 0], n[:, 1]))],
+            [*GROUP, "kind", "v", "w", "n0", "n1"],
+        )
+
+    schema = "language_key long, bucket int, kind int, v long, w long, n0 long, n1 long"
+    return blocks.groupBy(GROUP).applyInArrow(count, schema)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """language_key, u, v, w and their counts in each half of the texts."""
-    of = F.col("text_key").bitwiseAND(F.lit(1))
-    counts = [F.sum(F.when(of == half, F.col("n")).otherwise(0)).alias(f"n{half}") for half in (0, 1)]
-    return word_grams(docs).groupBy("language_key", "u", "v", "w").agg(*counts)
+    dealt = deal(docs)
 
+    def count(key, table):
+        own = Counted(table.column("block"), dealt.hot)
+        columns = [own.words[x].view(np.int64) for x in (own.u, own.v, own.w)]
+        columns += [np.ascontiguousarray(own.n[:, h]) for h in (0, 1)]
+        names = ["language_key", "u", "v", "w", "n0", "n1"]
+        return pa.table([pa.array([key[0].as_py()] * len(own.u), pa.int64()), *map(pa.array, columns)], names)
 
-def discount(n: Column) -> Column:
-    """``discounts`` as a column: of a count ``n``, from the columns c1 to c4."""
-    c = [F.col(f"c{i}") for i in range(1, 5)]
-    y = F.when(c[0] > 0, c[0] / (c[0] + 2 * c[1])).otherwise(0.5)
-    out = F.lit(0.0)
-    for i in range(1, 4):
-        d = F.when(c[i - 1] > 0, i - (i + 1) * y * c[i] / c[i - 1]).otherwise(i / 2)
-        at = n == i if i < 3 else n >= 3
-        out = F.when(at, F.least(F.greatest(d, F.lit(0.05 * i)), F.lit(0.95 * i))).otherwise(out)
+    schema = "language_key long, u long, v long, w long, n0 long, n1 long"
+    rounds = [word_blocks(docs, dealt, r).groupBy(GROUP).applyInArrow(count, schema) for r in range(ROUNDS)]
+    return reduce(DataFrame.unionAll, rounds)
+
+
+@dataclass
+class Totals:
+    """Of one language and half: discounts by order, and what of the 1-grams and the hot words v is known
+    of all groups: sum of the counts and of their discounts."""
+
+    discount: dict[int, np.ndarray]
+    words: tuple[float, float, int]
+    hot: dict[int, tuple[float, float]]
+
+
+def totals(counts: DataFrame, words: DataFrame, hot: DataFrame) -> dict[int, list[Totals]]:
+    """By language, for each half; one row per language, or language and hot word, comes to the driver."""
+    facts = [f(c) for c in ("n0", "n1") for f in FACTS]
+    one = {r[0]: r[1:] for r in words.groupBy("language_key").agg(*facts).collect()}
+    of_hot = {r[0]: r[1:] for r in hot.groupBy("language_key").agg(*facts).collect()}
+    each_hot = hot.groupBy("language_key", "v").agg(*facts).collect()
+    four = counts.filter(F.col("kind").isin(PAIRS, GRAMS)).groupBy("language_key", "kind", "w")
+    table = {(r[0], r[1], r[2]): r[3:] for r in four.agg(F.sum("n0"), F.sum("n1")).collect()}
+    out: dict[int, list[Totals]] = {}
+    for language, of_words in one.items():
+        for half in (0, 1):
+            own = slice(len(FACTS) * half, len(FACTS) * (half + 1))
+            total, seen, *one_to_four = of_words[own]
+            spent = lambda seen, n, cut: float(np.dot([n[0], n[1], seen - n[0] - n[1]], cut[1:]))
+            discount = {1: discounts_of(one_to_four)}
+            for order, kind, more in ((2, PAIRS, of_hot.get(language)), (3, GRAMS, None)):
+                more = more[own][2:] if more else [0] * 4
+                found = [table.get((language, kind, i), (0, 0))[half] for i in range(1, 5)]
+                discount[order] = discounts_of([a + b for a, b in zip(found, more, strict=True)])
+            by_word = {
+                word: (t, spent(s, n, discount[2]))
+                for of, word, *f in each_hot if of == language
+                for t, s, *n in [f[own]]
+            }
+            known = (total, spent(seen, one_to_four, discount[1]), seen)
+            out.setdefault(language, []).append(Totals(discount, known, by_word))
     return out
 
 
-def interpolated(table: DataFrame, context: list[str], name: str) -> DataFrame:
-    """``table`` with p: of its counts n (0 if unseen) after the context, on top of the lower order's ``below``."""
-    kinds = [F.count_if(F.col("n") == i).alias(f"c{i}") for i in range(1, 5)]
-    sizes = staged(table.groupBy(MODEL).agg(*kinds), f"{name}-discounts")  # one row per model
-    ways = table.filter("n > 0").groupBy(*MODEL, *context).agg(
-        F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("ones"),
-        F.count_if(F.col("n") == 2).alias("twos"), F.count_if(F.col("n") > 2).alias("more"),
-    )
-    taken = sum(F.col(k) * discount(F.lit(i)) for i, k in enumerate(("ones", "twos", "more"), 1))
-    ways = ways.join(sizes, MODEL).select(*MODEL, *context, "total", (taken / F.col("total")).alias("weight"))
-    if not context:
-        ways = staged(ways, f"{name}-weights")
-    share = (F.col("n") - discount(F.col("n"))) / F.col("total") + F.col("weight") * F.col("below")
-    joined = table.join(ways, [*MODEL, *context], "left").join(sizes, MODEL)
-    return joined.withColumn("p", F.coalesce(share, F.col("below"))).drop("total", "weight", "c1", "c2", "c3", "c4", "below")
-
-
-def word_scores(counts: DataFrame) -> DataFrame:
-    """gram, log_p: of every 3-gram of one half's texts, by the model of the other half."""
-    halves = [
-        F.struct(F.lit(h).alias("half"), F.col(f"n{h}").alias("n"), (F.col(f"n{1 - h}") > 0).alias("asked")) for h in (0, 1)
-    ]
-    triples = counts.select("language_key", "u", "v", "w", F.inline(F.array(*halves)))
-    pairs = staged(triples.groupBy(*MODEL, "v", "w").agg(F.count_if(F.col("n") > 0).alias("n")), "pairs")
-    words = staged(pairs.groupBy(*MODEL, "w").agg(F.count_if(F.col("n") > 0).alias("n")), "words")
-    known = staged(words.groupBy(MODEL).agg((1 / (F.count_if(F.col("n") > 0) + 1)).alias("below")), "known")
-    below = lambda table: table.withColumnRenamed("p", "below").drop("n")
-    one = below(interpolated(words.join(known, MODEL), [], "word"))
-    two = below(interpolated(pairs.join(one, [*MODEL, "w"]), ["v"], "pair"))
-    three = interpolated(triples.join(two, [*MODEL, "v", "w"]), ["u", "v"], "triple").filter("asked")
-    gram = F.xxhash64(*MODEL, "u", "v", "w").alias("gram")
-    return staged(three.select(gram, F.log("p").cast("float").alias("log_p")), "word-scores")
+#: Of a column of counts: their sum, how many are above 0, and how many are 1, 2, 3 and 4.
+FACTS = [
+    lambda c: F.sum(c),
+    lambda c: F.count_if(F.col(c) > 0),
+    *(lambda c, i=i: F.count_if(F.col(c) == i) for i in range(1, 5)),
+]
+
+
+def log_probabilities(own: Counted, half: int, known: Totals, word_n: np.ndarray, pair_n: np.ndarray) -> np.ndarray:
+    """Of each gram of a group by the model of one half, whose counts before words and pairs are given."""
+    d = {order: x for order, x in known.discount.items()}
+
+    def share(n, order, at, size, below, totals=()):
+        cut = d[order][np.minimum(n, 3)]
+        total, spent = np.bincount(at, n, size), np.bincount(at, cut, size)
+        for i, (t, s) in totals:
+            total[i], spent[i] = t, s
+        seen = total > 0
+        total[~seen] = 1
+        return np.where(seen[at], (n - cut) / total[at] + (spent / total)[at] * below, below)
+
+    total, spent, words = known.words
+    one = np.full(len(own.words), 1 / (words + 1))
+    if total:
+        one = (word_n - d[1][np.minimum(word_n, 3)]) / total + spent / total * one
+    word = own.words.view(np.int64)
+    hot = [(i, known.hot[word[i]]) for i in np.unique(own.pair_v[own.hot]) if word[i] in known.hot]
+    two = share(pair_n, 2, own.pair_v, len(own.words), one[own.pair_w], hot)
+    return np.log(share(own.n[:, half], 3, own.context, int(own.context.max()) + 1, two[own.pair]))
+
+
+def group_scores(blocks: DataFrame, answers: DataFrame, dealt: Deal, known: dict[int, list[Totals]]) -> DataFrame:
+    """text_key, language_key, log_p, n: the sum over each text's grams in a group, by the model of the half that
+    does not hold the text. ``answers`` has each group's counts that other groups add to."""
+    names = ["text_key", "language_key", "log_p", "n"]
+    schema = pa.schema([(n, pa.float64() if n == "log_p" else pa.int64()) for n in names])
+
+    def score(key, table, answer):
+        if not table.num_rows:
+            return schema.empty_table()
+        own = Counted(table.column("block"), dealt.hot)
+        v, w, *n = (answer.column(c).to_numpy() for c in ("v", "w", "n0", "n1"))
+        v, w, n, word = v.view(np.uint64), w.view(np.uint64), np.stack(n, axis=1), answer.column("kind").to_numpy() == WORDS
+        own.word_n[np.searchsorted(own.words, w[word])] = n[word]
+        # Pairs stand in the order of their words.
+        size = np.int64(len(own.words))
+        pair = np.searchsorted(own.words, v[~word]) * size + np.searchsorted(own.words, w[~word])
+        own.pair_n[np.searchsorted(own.pair_v * size + own.pair_w, pair)] = n[~word]
+        language = key[0].as_py()
+        log_p = [log_probabilities(own, h, known[language][h], own.word_n[:, h], own.pair_n[:, h]) for h in (0, 1)]
+        texts, at, count = np.unique(own.keys, return_inverse=True, return_counts=True)
+        each = np.where(own.keys & 1, log_p[0][own.gram], log_p[1][own.gram])
+        total = np.bincount(at, each, len(texts))
+        return pa.table([texts, np.full(len(texts), language), total, count], schema=schema)
+
+    grouped = blocks.groupBy(GROUP).cogroup(answers.groupBy(GROUP))
+    return grouped.applyInArrow(score, "text_key long, language_key long, log_p double, n long")
+
+
+def word_scores(docs: DataFrame, dealt: Deal) -> DataFrame:
+    """text_key, language_key, log_perplexity of every text. Grams are dealt in rounds, once to be counted and once
+    to be judged by the counts of all, and leave the disk with their round. Copies of a text add to both sums alike."""
+    rounds = range(ROUNDS)
+    unite = lambda parts: reduce(DataFrame.unionAll, parts)
+    counts = unite(
+        [passing(group_counts(word_blocks(docs, dealt, r), dealt), f"group-counts-{r}") for r in rounds]
+    )
+    add = [F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.collect_list("bucket").alias("buckets")]
+    hot = passing(counts.filter(F.col("kind") == HOT).groupBy("language_key", "v", "w").agg(*add), "hot-pairs")
+    before = [F.count_if(F.col(c) > 0).alias(c) for c in ("n0", "n1")]
+    more = hot.groupBy("language_key", "w").agg(*before).withColumn("bucket", F.lit(None).cast("int"))
+    names = ["language_key", "w", "n0", "n1", "bucket"]
+    words = counts.filter(F.col("kind") == WORDS).select(names).unionAll(more.select(names))
+    words = passing(words.groupBy("language_key", "w").agg(*add, F.count("*").alias("rows")), "words")
+    known = totals(counts, words, hot)
+    # A count that one group alone adds to is its own.
+    told = words.filter("rows > 1").select("language_key", F.lit(WORDS).alias("kind"), F.lit(0).cast("long").alias("v"), "w", "n0", "n1", "buckets")
+    told = told.unionAll(hot.select("language_key", F.lit(HOT).alias("kind"), "v", "w", "n0", "n1", "buckets"))
+    sums = []
+    for r in rounds:
+        answers = told.withColumn("bucket", F.explode("buckets")).drop("buckets")
+        answers = answers.filter(F.floor(F.col("bucket") / dealt.groups) == r)
+        own = group_scores(word_blocks(docs, dealt, r), answers, dealt, known)
+        sums.append(passing(summed(own), f"text-sums-{r}"))
+    return summed(unite(sums)).select("text_key", "language_key", (-F.col("log_p") / F.col("n")).alias("log_perplexity"))
+
+
+def summed(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("text_key", "language_key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
 
 
 @dataclass
 class Fitted:
-    """The letter model, and the word models' logarithms of the texts' 3-grams."""
+    """The letter model, and the texts' scores by the word models."""
 
     letters: Model
     words: DataFrame
@@ -335,25 +618,13 @@ class Fitted:
 
 def fit(docs: DataFrame) -> Fitted:
     """The models of all texts."""
-    return Fitted(letter_model(docs), word_scores(staged(word_counts(docs), "word-grams")))
-
-
-def with_word_score(docs: DataFrame, own: DataFrame, words: DataFrame) -> DataFrame:
-    """``docs`` with half and log_perplexity. Copies of a text add to both sums alike."""
-    other = 1 - F.col("text_key").bitwiseAND(F.lit(1))
-    gram = F.xxhash64("language_key", other.cast("int"), "u", "v", "w").alias("gram")
-    means = (
-        word_grams(own).select("text_key", "language_key", gram, "n").join(words, "gram")
-        .groupBy("text_key", "language_key")
-        .agg((-F.sum(F.col("n") * F.col("log_p")) / F.sum("n")).alias("log_perplexity"))
-    )
-    return docs.join(means, ["text_key", "language_key"], "left").drop("text_key", "language_key")
+    return Fitted(letter_model(docs), word_scores(docs, deal(docs)))
 
 
 def scores(docs: DataFrame, model: Fitted) -> DataFrame:
     """``docs``, whose texts ``fit`` has seen, with the base counts, half, log_perplexity and spelling."""
     sent = docs.sparkSession.sparkContext.broadcast(model.letters)
-    keys = {"text_key": text_key(), "language_key": F.xxhash64(F.coalesce("lang", F.lit("")))}
+    keys = {"text_key": text_key(), "language_key": language_key()}
     own = docs.withColumns(keys).withColumn("half", F.col("text_key").bitwiseAND(F.lit(1)))
     own = own.withColumn(
         "framed", F.struct(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
@@ -380,7 +651,8 @@ def scores(docs: DataFrame, model: Fitted) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *counts, pa.array(out)], schema.names)
 
     schema = T.StructType([*own.schema.fields, *new.fields])
-    return with_word_score(own.mapInArrow(score, schema).drop("framed"), docs, model.words)
+    scored = own.mapInArrow(score, schema).drop("framed")
+    return scored.join(model.words, [*keys], "left").drop(*keys)
 
 
 def judge(scored: DataFrame) -> DataFrame:

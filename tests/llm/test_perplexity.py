@@ -102,3 +102,18 @@ def test_word_probabilities_equal_plain_kneser_ney(spark):
             return (n - cut[min(n, 3)] + sum(cut[min(m, 3)] for m in after) * below) / sum(after)
 
         assert abs(rows[i] + np.mean([np.log(p(g)) for g in own])) < 1e-5
+
+
+def test_dealt_grams_are_small_and_hot_words_change_nothing(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(300)], 400, p=np.arange(300, 0, -1) / 45150)) for _ in range(60)]
+    docs = frame(spark, *texts, texts[0], None).select("doc_id", "lang", "text")
+    none = P.Deal(2, np.zeros(0, np.uint64))
+    grams = sum(len(t.split()) + 1 for t in [*texts, texts[0], ""])
+    blocks = [r for i in range(P.ROUNDS) for r in P.word_blocks(docs, none, i).collect()]
+    assert sum(P.unpacked(r.block)[3].shape[1] for r in blocks) == grams
+    assert sum(len(r.block) for r in blocks) < 16 * grams
+    hot = np.sort(P.W.words(next(P.W.slices(P.pa.array(["w0 w1 w2"]))), lower=True).hash)
+    one, other = ({r[0]: r[2] for r in P.word_scores(docs, d).collect()} for d in (none, P.Deal(2, hot)))
+    assert one.keys() == other.keys() and len(one) == 61
+    assert all(abs(one[k] - other[k]) < 1e-9 for k in one)
