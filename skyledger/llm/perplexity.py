@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm import words as W
-from skyledger.llm.store import passing, staged
+from skyledger.llm.store import forget, passing, staged
 
 ORDER = 4
 BITS = 6
@@ -47,6 +47,8 @@ GROUP_GRAMS = 1 << 22
 BLOCK_GRAMS = 1 << 22
 LETTERS = 6
 HOT_TEXTS = 64
+#: Slices of the texts a group of a round, in which sums are brought together.
+SLICES = 8
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
@@ -549,10 +551,11 @@ def log_probabilities(own: Counted, half: int, known: Totals, word_n: np.ndarray
 
 
 def group_scores(blocks: DataFrame, answers: DataFrame, dealt: Deal, known: dict[int, list[Totals]]) -> DataFrame:
-    """text_key, language_key, log_p, n: the sum over each text's grams in a group, by the model of the half that
-    does not hold the text. ``answers`` has each group's counts that other groups add to."""
-    names = ["text_key", "language_key", "log_p", "n"]
-    schema = pa.schema([(n, pa.float64() if n == "log_p" else pa.int64()) for n in names])
+    """language_key, slice, sums: the keys of some texts, the sum over each text's grams in a group by the model of
+    the half that does not hold the text, and their number. ``answers`` has each group's counts that other groups
+    add to. Texts are dealt into slices by their keys."""
+    slices = SLICES * dealt.groups
+    schema = pa.schema([("language_key", pa.int64()), ("slice", pa.int32()), ("sums", pa.binary())])
 
     def score(key, table, answer):
         if not table.num_rows:
@@ -570,10 +573,29 @@ def group_scores(blocks: DataFrame, answers: DataFrame, dealt: Deal, known: dict
         texts, at, count = np.unique(own.keys, return_inverse=True, return_counts=True)
         each = np.where(own.keys & 1, log_p[0][own.gram], log_p[1][own.gram])
         total = np.bincount(at, each, len(texts))
-        return pa.table([texts, np.full(len(texts), language), total, count], schema=schema)
+        part = (W.mix(texts.view(np.uint64)) % np.uint64(slices)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        found, starts = np.unique(part[order], return_index=True)
+        sums = [b"".join(x[rows].tobytes() for x in (texts, total, count)) for rows in np.split(order, starts[1:])]
+        return pa.table([np.full(len(found), language), found, pa.array(sums, pa.binary())], schema=schema)
 
     grouped = blocks.groupBy(GROUP).cogroup(answers.groupBy(GROUP))
-    return grouped.applyInArrow(score, "text_key long, language_key long, log_p double, n long")
+    return grouped.applyInArrow(score, "language_key long, slice int, sums binary")
+
+
+def text_sums(scored: DataFrame) -> DataFrame:
+    """text_key, language_key, log_p, n: the sums of all groups."""
+
+    def add(key, table):
+        parts = [np.frombuffer(x.as_buffer(), np.int64).reshape(3, -1) for x in table.column("sums")]
+        texts, log_p, n = np.concatenate(parts, axis=1)
+        texts, at = np.unique(texts, return_inverse=True)
+        sums = [np.bincount(at, x, len(texts)) for x in (log_p.view(np.float64), n)]
+        names = ["text_key", "language_key", "log_p", "n"]
+        return pa.table([texts, np.full(len(texts), key[0].as_py()), sums[0], sums[1].astype(np.int64)], names)
+
+    schema = "text_key long, language_key long, log_p double, n long"
+    return scored.groupBy("language_key", "slice").applyInArrow(add, schema)
 
 
 def word_scores(docs: DataFrame, dealt: Deal) -> DataFrame:
@@ -592,6 +614,7 @@ def word_scores(docs: DataFrame, dealt: Deal) -> DataFrame:
     words = counts.filter(F.col("kind") == WORDS).select(names).unionAll(more.select(names))
     words = passing(words.groupBy("language_key", "w").agg(*add, F.count("*").alias("rows")), "words")
     known = totals(counts, words, hot)
+    forget(counts)
     # A count that one group alone adds to is its own.
     told = words.filter("rows > 1").select("language_key", F.lit(WORDS).alias("kind"), F.lit(0).cast("long").alias("v"), "w", "n0", "n1", "buckets")
     told = told.unionAll(hot.select("language_key", F.lit(HOT).alias("kind"), "v", "w", "n0", "n1", "buckets"))
@@ -600,12 +623,9 @@ def word_scores(docs: DataFrame, dealt: Deal) -> DataFrame:
         answers = told.withColumn("bucket", F.explode("buckets")).drop("buckets")
         answers = answers.filter(F.floor(F.col("bucket") / dealt.groups) == r)
         own = group_scores(word_blocks(docs, dealt, r), answers, dealt, known)
-        sums.append(passing(summed(own), f"text-sums-{r}"))
-    return summed(unite(sums)).select("text_key", "language_key", (-F.col("log_p") / F.col("n")).alias("log_perplexity"))
-
-
-def summed(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("text_key", "language_key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+        sums.append(passing(text_sums(own), f"text-sums-{r}"))
+    summed = unite(sums).groupBy("text_key", "language_key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+    return summed.select("text_key", "language_key", (-F.col("log_p") / F.col("n")).alias("log_perplexity"))
 
 
 @dataclass

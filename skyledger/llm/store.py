@@ -35,3 +35,11 @@ def passing(df: DataFrame, name: str) -> DataFrame:
         return staged(df.select("*"), name)
     finally:
         conf.unset(key) if before is None else conf.set(key, before)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
