@@ -131,3 +131,48 @@ def test_range_join_cuts_full_cells_into_blocks(spark, monkeypatch):
     assert out.count() == want == out.distinct().count()
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 2 and max(sizes) < want / 2
+
+
+def joined_rows(df):
+    """Runs ``df`` and returns how many rows were shuffled for each side of its merge join."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+
+    def nodes(node):
+        below = node.children()
+        inner = {"AdaptiveSparkPlan": "executedPlan", "ResultQueryStage": "plan", "ShuffleQueryStage": "plan"}.get(node.nodeName())
+        for x in [below.apply(i) for i in range(below.size())] + ([getattr(node, inner)()] if inner else []):
+            yield from nodes(x)
+        yield node
+
+    (join,) = (x for x in nodes(execution.executedPlan()) if x.nodeName() == "SortMergeJoin")
+    sides = ([x for x in nodes(join.children().apply(i)) if x.nodeName() == "Exchange"][-1] for i in (0, 1))
+    return [side.metrics().get("shuffleRecordsWritten").get().value() for side in sides]
+
+
+def test_range_join_lists_points_once(spark):
+    """A point goes to one cell, whatever the sizes of the boxes, and to none that no box meets."""
+    points = spark.range(4000).selectExpr("id as point_id", "id * 37 % 401 / 8 as lat", "id * 53 % 401 / 8 as lon")
+    sizes = "array(struct(0.375 as h, 1.5 as w), struct(3.0 as h, 4.0 as w), struct(40.0 as h, 45.0 as w))"
+    boxes = spark.range(300).selectExpr("id as region_id", "id % 5 as south", "id % 7 as west", f"{sizes}[id % 3] as size")
+    boxes = boxes.selectExpr("region_id", "cast(south as double)", "south + size.h as north", "cast(west as double)", "west + size.w as east")
+    pairs = "lat between south and north and lon between west and east"
+    want = sorted(map(tuple, points.join(boxes, F.expr(pairs)).select("point_id", "region_id").collect()))
+    out = coverage_join(points, boxes)
+    assert sorted((x.point_id, x.region_id) for x in out.collect()) == want
+    at, listed = joined_rows(out)
+    assert at <= 4000 and listed <= 3 * 300
+    at, listed = joined_rows(coverage_join(points.withColumn("lon", F.col("lon") - F.col("point_id") % 2 * 120), boxes))
+    assert at <= 2000 and listed <= 3 * 300
+
+
+def test_range_join_beyond_the_globe(spark):
+    """Edges and points out of range are compared like others and make no more cells."""
+    nan, far = float("nan"), 1e9
+    points = [(0, 95.0, 0.0), (1, -far, far), (2, 10.0, 200.0), (3, nan, 5.0), (4, 50.0, 5.0), (5, far, -180.5)]
+    boxes = [(0, -far, far, -far, far), (1, 90.0, 100.0, -1.0, 1.0), (2, 40.0, nan, 0.0, 10.0), (3, 0.0, 20.0, 190.0, 210.0)]
+    p = spark.createDataFrame(points, "point_id int, lat double, lon double")
+    r = spark.createDataFrame(boxes, "region_id int, south double, north double, west double, east double")
+    assert box_cells(r).groupBy("region_id").count().agg(F.max("count")).first()[0] <= 72
+    got = sorted((x.point_id, x.region_id) for x in coverage_join(p, r).collect())
+    assert got == [(0, 0), (0, 1), (0, 2), (1, 0), (2, 0), (2, 3), (3, 2), (4, 0), (4, 2), (5, 0)]
